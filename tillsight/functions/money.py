@@ -2,65 +2,55 @@
 
 Amounts are integer cents, so sums do not depend on the order in which tasks
 finish. Ratios are rounded half away from zero with integer division and only
-become doubles at the very end.
+become doubles at the very end. Arguments are SQL expressions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-WIDE = "decimal(38,0)"
+WIDE = "DECIMAL(38,0)"
 
 
-def wide(column: Column | str) -> Column:
-    """Widen an integer so that totals over a whole fact cannot overflow."""
-    return _col(column).cast(WIDE)
-
-
-def wide_sum(column: Column | str) -> Column:
+def wide_sum(cents: str) -> Column:
     """Sum that may pass 9.2e18. Use it on pre-aggregated rows: decimals are slower than longs."""
-    return F.sum(wide(column))
+    return F.expr(f"sum(CAST({cents} AS {WIDE}))")
 
 
-def money(cents: Column | str) -> Column:
+def money(cents: str) -> Column:
     """Cents to currency units, for output columns."""
-    return _col(cents).cast("double") / F.lit(100.0)
+    return F.expr(f"CAST({cents} AS DOUBLE) / 100.0D")
 
 
-def ratio(numerator: Column | str, denominator: Column | str, scale: float = 1.0) -> Column:
+def ratio(numerator: str, denominator: str, scale: float = 1.0) -> Column:
     """Unrounded ``scale * numerator / denominator``; null when the denominator is zero."""
-    below = F.nullif(_col(denominator).cast("double"), F.lit(0.0))
-    return F.lit(scale) * _col(numerator).cast("double") / below
+    return F.expr(
+        f"{scale}D * CAST({numerator} AS DOUBLE) / nullif(CAST({denominator} AS DOUBLE), 0.0D)")
 
 
-def pct(numerator: Column | str, denominator: Column | str) -> Column:
+def pct(numerator: str, denominator: str) -> Column:
     """Unrounded percentage."""
     return ratio(numerator, denominator, 100.0)
 
 
-def rounded(numerator: Column | str, denominator: Column | str, factor: int, places: int) -> Column:
+def rounded(numerator: str, denominator: str, factor: int, places: int) -> Column:
     """``factor / 10**places * numerator / denominator`` rounded exactly to ``places``."""
-    above, below = wide(numerator), F.nullif(wide(denominator), wide(F.lit(0)))
-    doubled = F.lit(2) * F.abs(below)
-    units = F.call_function("div", F.lit(2 * factor) * F.abs(above) + F.abs(below), doubled)
-    signed = F.when((above < 0) != (below < 0), -units).otherwise(units)
-    return signed.cast("double") / F.lit(float(10**places))
+    above, below = f"CAST({numerator} AS {WIDE})", f"nullif(CAST({denominator} AS {WIDE}), 0)"
+    units = f"({2 * factor} * abs({above}) + abs({below})) div (2 * abs({below}))"
+    sign = f"CASE WHEN ({above} < 0) <> ({below} < 0) THEN -1L ELSE 1L END"
+    return F.expr(f"CAST({sign} * ({units}) AS DOUBLE) / {float(10**places)}D")
 
 
-def pct2(numerator: Column | str, denominator: Column | str) -> Column:
+def pct2(numerator: str, denominator: str) -> Column:
     """Percentage with two decimals."""
     return rounded(numerator, denominator, 10_000, 2)
 
 
-def ratio2(numerator: Column | str, denominator: Column | str) -> Column:
+def ratio2(numerator: str, denominator: str) -> Column:
     """Ratio of like quantities with two decimals."""
     return rounded(numerator, denominator, 100, 2)
 
 
-def money_per(cents: Column | str, count: Column | str) -> Column:
+def money_per(cents: str, count: str) -> Column:
     """Currency units per counted thing, with two decimals."""
     return rounded(cents, count, 1, 2)
-
-
-def _col(column: Column | str) -> Column:
-    return F.col(column) if isinstance(column, str) else column

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -36,7 +36,7 @@ def fill_unknown(rows: DataFrame, table: str) -> DataFrame:
 
 
 def clean_dimension(raw: Star, table: str) -> DataFrame:
-    return fill_unknown(strip_columns(getattr(raw, table), table), table)
+    return fill_unknown(strip_columns(raw.table(table), table), table)
 
 
 def dedup_sales(raw: Star) -> DataFrame:
@@ -61,7 +61,7 @@ def clean_sales(raw: Star) -> DataFrame:
 def clean_star(raw: Star) -> Star:
     """All cleaning rules over the six tables."""
     return raw.with_tables(
-        fact_sales=clean_sales(raw), **{table: clean_dimension(raw, table) for table in TEXT_COLUMNS})
+        fact_sales=lambda: clean_sales(raw), **{t: partial(clean_dimension, raw, t) for t in TEXT_COLUMNS})
 
 
 # --- what cleaning did ----------------------------------------------------------------------------
@@ -76,7 +76,7 @@ def text_changes(raw: Star) -> DataFrame:
     """How many values stripping changes, per column that has any."""
     parts = []
     for table, columns in TEXT_COLUMNS.items():
-        rows = getattr(raw, table)
+        rows = raw.table(table)
         counted = _counted(rows, {c: strip(c) != F.col(c) for c in columns if c in rows.columns})
         parts.append(counted.select(F.concat(F.lit(f"{table}."), "column_name").alias("column_name"), "n"))
     return reduce(DataFrame.unionByName, parts).filter("n > 0")
@@ -90,7 +90,7 @@ def clean_fill_unknown(raw: Star) -> DataFrame:
     """Descriptive columns after filling, one row per table row and column."""
     parts = []
     for table, key in (("dim_customer", "customer_id"), ("dim_product", "product_id")):
-        rows = fill_unknown(getattr(raw, table), table)
+        rows = fill_unknown(raw.table(table), table)
         values = rows.select(F.col(key).alias("id"), *UNKNOWN_COLUMNS[table]).unpivot(
             "id", list(UNKNOWN_COLUMNS[table]), "column_name", "value")
         parts.append(values.select(F.lit(table).alias("table_name"), "id", "column_name", "value"))
@@ -131,13 +131,13 @@ def reconcile_revenue(raw: Star, clean: Star) -> DataFrame:
     before = revenue(raw.sales(*columns)).scalar()
     return revenue(clean.sales(*columns)).withColumn("before", before).select(
         money("before").alias("raw_revenue"), money("revenue").alias("processed_revenue"),
-        money(F.col("before") - F.col("revenue")).alias("difference"))
+        money("before - revenue").alias("difference"))
 
 
 def cleaning_log(raw: Star) -> DataFrame:
     """Rows in and out, copies removed, nulls filled and text stripped, as (metric, item, value)."""
     def row_counts(table: str) -> DataFrame:
-        return getattr(raw, table).agg(F.count(F.lit(1)).alias("rows_in")).select(
+        return raw.table(table).agg(F.count(F.lit(1)).alias("rows_in")).select(
             F.lit(table).alias("item"), "rows_in", F.col("rows_in").alias("rows_out"))
 
     sales = raw.fact_sales.groupBy(*raw.fact_sales.columns).agg(F.count(F.lit(1)).alias("copies"))
@@ -156,7 +156,7 @@ def cleaning_log(raw: Star) -> DataFrame:
         [], ["discount_amount", "shipping_cost"], "column_name", "n").select(
         F.concat(F.lit("fact_sales."), "column_name").alias("column_name"), "n")
     for table, columns in UNKNOWN_COLUMNS.items():
-        nulls = _counted(getattr(raw, table), {c: F.col(c).isNull() for c in columns})
+        nulls = _counted(raw.table(table), {c: F.col(c).isNull() for c in columns})
         fills = fills.unionByName(nulls.select(F.concat(F.lit(f"{table}."), "column_name").alias("column_name"), "n"))
     filled = fills.filter("n > 0").select(
         F.col("column_name").alias("item"), F.lit("nulls_filled").alias("metric"), F.col("n").alias("value"))

@@ -26,7 +26,7 @@ def load_star(star: Star, folder: str | None = None) -> Star:
 def table_counts(star: Star) -> DataFrame:
     """Rows per table."""
     counts = [
-        getattr(star, t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+        star.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
         for t in TABLES
     ]
     return reduce(DataFrame.unionByName, counts)

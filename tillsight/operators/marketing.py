@@ -41,13 +41,11 @@ def channel_facts(star: Star) -> DataFrame:
 
 def channel_performance(star: Star) -> DataFrame:
     """Channel economics; channels without sales or spend count as zero, undefined ratios are null."""
-    facts = channel_facts(star).withColumns({
-        "earned": F.coalesce("gross_profit", F.lit(0)), "spent": F.coalesce("spend", F.lit(0))})
-    net = F.col("earned") - F.col("spent")
+    facts = channel_facts(star).selectExpr("*", "coalesce(gross_profit, 0) AS earned", "coalesce(spend, 0) AS spent")
     return facts.select(
         "channel_id", "channel_name", "channel_type",
         F.coalesce("orders", F.lit(0)).alias("orders"),
-        money(F.coalesce("revenue", F.lit(0))).alias("revenue"),
+        money("coalesce(revenue, 0)").alias("revenue"),
         money("earned").alias("gross_profit"),
         pct2("gross_profit", "revenue").alias("gross_margin_pct"),
         money("spent").alias("marketing_spend"),
@@ -55,8 +53,8 @@ def channel_performance(star: Star) -> DataFrame:
         F.coalesce("conversions", F.lit(0)).alias("conversions"),
         money_per("spend", "new_customers").alias("cac"),
         ratio2("revenue", "spend").alias("roas"),
-        money(net).alias("net_marketing_contribution"),
-        pct2(net, "revenue").alias("margin_after_mkt_pct"),
+        money("earned - spent").alias("net_marketing_contribution"),
+        pct2("earned - spent", "revenue").alias("margin_after_mkt_pct"),
     ).orderBy(F.desc("net_marketing_contribution"))
 
 
@@ -71,9 +69,9 @@ def channel_performance_py(star: Star) -> DataFrame:
         money("spend").alias("spend"),
         "conversions", "new_customers",
         pct("gross_profit", "revenue").alias("gross_margin_pct"),
-        F.when(F.col("new_customers") > 0, ratio("spend", F.col("new_customers") * 100)).alias("cac"),
+        F.when(F.col("new_customers") > 0, ratio("spend", "new_customers * 100")).alias("cac"),
         F.when(F.col("spend") > 0, ratio("revenue", "spend")).alias("roas"),
-        money(F.col("gross_profit") - F.col("spend")).alias("net_marketing_contribution"),
+        money("gross_profit - spend").alias("net_marketing_contribution"),
     ).orderBy(F.desc("net_marketing_contribution"))
 
 

@@ -30,13 +30,11 @@ MARKETING_DIMENSIONS = (*TIME, *CHANNEL, "campaign_name")
 ACQUISITION_DIMENSIONS = (*TIME, *CHANNEL, "customer_segment", "city", "region", "acquisition_channel")
 
 
-def _gross_profit() -> Column:
-    return (F.col("revenue") - F.col("product_cost") - F.col("shipping_cost") - F.col("payment_fee")
-            - F.col("refund_amount"))
+GROSS_PROFIT = "revenue - product_cost - shipping_cost - payment_fee - refund_amount"
 
 
-def _per_money(cents: Column | str, count: str) -> Column:
-    return ratio(cents, F.col(count) * 100)
+def _money_per(cents: str, count: str) -> Column:
+    return ratio(cents, f"({count}) * 100")
 
 
 # Measure -> (base columns it reads, expression over them).
@@ -53,29 +51,29 @@ _measure("product_cost", ("product_cost",), lambda: money("product_cost"))
 _measure("shipping_cost", ("shipping_cost",), lambda: money("shipping_cost"))
 _measure("payment_fee", ("payment_fee",), lambda: money("payment_fee"))
 _measure("refund_amount", ("refund_amount",), lambda: money("refund_amount"))
-_measure("gross_profit", PROFIT_INPUTS, lambda: money(_gross_profit()))
-_measure("gross_margin", PROFIT_INPUTS, lambda: ratio(_gross_profit(), "revenue"))
+_measure("gross_profit", PROFIT_INPUTS, lambda: money(GROSS_PROFIT))
+_measure("gross_margin", PROFIT_INPUTS, lambda: ratio(GROSS_PROFIT, "revenue"))
 _measure("orders", ("orders",), lambda: F.col("orders"))
 _measure("units_sold", ("quantity",), lambda: F.col("quantity").cast("bigint"))
-_measure("average_order_value", ("revenue", "orders"), lambda: _per_money("revenue", "orders"))
+_measure("average_order_value", ("revenue", "orders"), lambda: _money_per("revenue", "orders"))
 _measure("marketing_spend", ("marketing_spend",), lambda: money("marketing_spend"))
 _measure("new_customers", ("new_customers",), lambda: F.col("new_customers"))
-_measure("cac", ("marketing_spend", "new_customers"), lambda: _per_money("marketing_spend", "new_customers"))
+_measure("cac", ("marketing_spend", "new_customers"), lambda: _money_per("marketing_spend", "new_customers"))
 _measure("roas", ("revenue", "marketing_spend"), lambda: ratio("revenue", "marketing_spend"))
 _measure("net_marketing_contribution", (*PROFIT_INPUTS, "marketing_spend"),
-         lambda: money(_gross_profit() - F.coalesce("marketing_spend", F.lit(0))))
+         lambda: money(f"{GROSS_PROFIT} - coalesce(marketing_spend, 0)"))
 _measure("returned_orders", ("returned_orders",), lambda: F.col("returned_orders"))
 _measure("return_rate", ("returned_orders", "orders"), lambda: ratio("returned_orders", "orders"))
 _measure("customers_with_orders", BUYERS[:1], lambda: F.col("customers_with_orders"))
 _measure("repeat_customers", BUYERS[1:], lambda: F.col("repeat_customers"))
 _measure("repeat_purchase_rate", BUYERS, lambda: ratio("repeat_customers", "customers_with_orders"))
 _measure("revenue_per_customer", ("revenue", "customers_with_orders"),
-         lambda: _per_money("revenue", "customers_with_orders"))
+         lambda: _money_per("revenue", "customers_with_orders"))
 _measure("average_discount", ("discount_amount", "list_amount"), lambda: ratio("discount_amount", "list_amount"))
 _measure("clv_approx", (*PROFIT_INPUTS, "customers_with_orders"),
-         lambda: _per_money(_gross_profit(), "customers_with_orders"))
+         lambda: _money_per(GROSS_PROFIT, "customers_with_orders"))
 _measure("conversions", ("conversions",), lambda: F.col("conversions"))
-_measure("cost_per_conversion", ("marketing_spend", "conversions"), lambda: _per_money("marketing_spend", "conversions"))
+_measure("cost_per_conversion", ("marketing_spend", "conversions"), lambda: _money_per("marketing_spend", "conversions"))
 
 
 def measures(star: Star, by: Iterable[str] = (), names: Iterable[str] | None = None,

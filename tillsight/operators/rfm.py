@@ -219,7 +219,7 @@ def rfm_distribution(star: Star) -> DataFrame:
         ratio("recency", "customers").alias("avg_recency"),
         ratio("orders", "customers").alias("avg_frequency"),
         money("monetary").alias("total_monetary"),
-        ratio("monetary", F.col("customers") * 100).alias("avg_monetary"),
+        ratio("monetary", "customers * 100").alias("avg_monetary"),
         pct("customers", "all_customers").alias("pct_customers"),
         pct("monetary", "all_monetary").alias("pct_value"),
     )

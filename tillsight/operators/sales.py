@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.economics import year_month
-from tillsight.functions.money import money, money_per, pct, pct2, ratio, rounded, wide_sum
-from tillsight.sources.star import SCHEMAS, Star
+from tillsight.functions.money import money, money_per, pct, pct2, ratio, wide_sum
+from tillsight.sources.star import COLUMNS, Star
 
 MARGIN_UNITS = 10**8  # a line margin is kept as a whole number of 1e-8, so its mean is order-independent
 
@@ -44,7 +44,7 @@ def product_totals(star: Star, sums: tuple[str, ...] = ("quantity", "revenue", "
 
 def sales_enriched(star: Star) -> DataFrame:
     """Lines with product, customer and channel attributes (left joins) and their economics."""
-    fact = SCHEMAS["fact_sales"].names
+    fact = list(COLUMNS["fact_sales"])
     lines = star.sales(
         *fact, "product_name", "category", "region", "customer_segment", "channel_name", "channel_type",
         "revenue", "gross_profit", "year_month", "list_amount", how="left")
@@ -110,8 +110,8 @@ def monthly_revenue(star: Star) -> DataFrame:
         money("gross_profit").alias("gross_profit"),
         pct2("gross_profit", "revenue").alias("gross_margin_pct"),
         money_per("revenue", "orders").alias("avg_order_value"),
-        pct2(F.col("revenue") - F.col("revenue_before"), "revenue_before").alias("revenue_mom_pct"),
-        pct2(F.col("gross_profit") - F.col("profit_before"), "profit_before").alias("gross_profit_mom_pct"),
+        pct2("revenue - revenue_before", "revenue_before").alias("revenue_mom_pct"),
+        pct2("gross_profit - profit_before", "profit_before").alias("gross_profit_mom_pct"),
     ).orderBy("year_month")
 
 
@@ -124,7 +124,7 @@ def monthly_margin_py(star: Star) -> DataFrame:
         money("revenue").alias("revenue"),
         money("gross_profit").alias("gross_profit"),
         pct("gross_profit", "revenue").alias("gross_margin_pct"),
-        pct(F.col("revenue") - F.col("revenue_before"), "revenue_before").alias("revenue_mom_pct"),
+        pct("revenue - revenue_before", "revenue_before").alias("revenue_mom_pct"),
     ).orderBy("year_month")
 
 
@@ -140,10 +140,10 @@ def mom_growth_calendar(star: Star) -> DataFrame:
         year_month("month_start").alias("year_month"),
         money("revenue").alias("revenue"),
         money("revenue_pm").alias("revenue_pm"),
-        ratio(F.col("revenue") - F.col("revenue_pm"), "revenue_pm").alias("revenue_growth"),
+        ratio("revenue - revenue_pm", "revenue_pm").alias("revenue_growth"),
         money("gross_profit").alias("gross_profit"),
         money("gross_profit_pm").alias("gross_profit_pm"),
-        ratio(F.col("gross_profit") - F.col("gross_profit_pm"), "gross_profit_pm").alias("gross_profit_growth"),
+        ratio("gross_profit - gross_profit_pm", "gross_profit_pm").alias("gross_profit_growth"),
     ).orderBy("year_month")
 
 
@@ -182,8 +182,7 @@ def scored_products(star: Star) -> DataFrame:
     Margins are whole numbers of 1e-8 here, so that comparing with their average
     gives the same answer whatever order rows arrive in.
     """
-    margin = F.call_function(
-        "div", F.col("gross_profit").cast("decimal(38,0)") * MARGIN_UNITS, F.nullif(F.col("revenue"), F.lit(0)))
+    margin = F.expr(f"(CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div nullif(revenue, 0)")
     products = product_totals(star).withColumn("margin", margin)
     average = products.agg(F.struct(
         F.count(F.lit(1)).alias("products"),
@@ -284,10 +283,10 @@ def shipping_by_region(star: Star) -> DataFrame:
             F.sum("lines").alias("lines"), wide_sum("cost").alias("cost"), wide_sum("revenue").alias("revenue"))
     return per_region.select(
         "region",
-        ratio("cost", F.col("lines") * 100).alias("avg_shipping_cost"),
+        ratio("cost", "lines * 100").alias("avg_shipping_cost"),
         money("cost").alias("total_shipping_cost"),
         money("revenue").alias("total_shipping_revenue"),
-        money(F.col("revenue") - F.col("cost")).alias("net_shipping"),
+        money("revenue - cost").alias("net_shipping"),
     )
 
 
@@ -299,9 +298,9 @@ def line_margins(star: Star, *columns: str) -> DataFrame:
     return lines.select(*columns, margin.alias("margin"))
 
 
-def mean_margin_pct(margin_sum: Column | str, margin_count: Column | str) -> Column:
+def mean_margin_pct(margin_sum: str, margin_count: str) -> Column:
     """Mean of line margins in percent, from their sum in 1e-8 and their count."""
-    return ratio(margin_sum, F.expr(f"{margin_count} * {MARGIN_UNITS // 100}L"))
+    return ratio(margin_sum, f"{margin_count} * {MARGIN_UNITS // 100}L")
 
 
 def margin_by_discount_bucket(star: Star) -> DataFrame:
@@ -315,7 +314,7 @@ def margin_by_discount_bucket(star: Star) -> DataFrame:
 def table_totals(star: Star) -> DataFrame:
     """Row counts of the six tables, distinct orders, revenue and gross profit, in one row."""
     def rows(table: str) -> Column:
-        return getattr(star, table).agg(F.count(F.lit(1))).scalar()
+        return star.table(table).agg(F.count(F.lit(1))).scalar()
 
     facts = order_totals(star, [], ["revenue", "gross_profit"])
     return facts.select(

@@ -72,7 +72,7 @@ def finding_channels(star: Star) -> DataFrame:
         F.col("worst.channel_name").alias("worst_paid_channel"),
         money("worst.net").alias("worst_net_contribution"),
         F.when(F.col("worst.new_customers") > 0,
-               ratio("worst.spend", F.col("worst.new_customers") * 100)).alias("worst_cac"),
+               ratio("worst.spend", "worst.new_customers * 100")).alias("worst_cac"),
         ratio("worst.revenue", "worst.spend").alias("worst_roas"),
         ratio("email.revenue", "email.spend").alias("email_roas"),
         money("email.net").alias("email_net_contribution"),

@@ -5,11 +5,10 @@ Money is integer cents inside the star and currency units in CSV files.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Iterable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from tillsight.functions.economics import DERIVED
 
@@ -29,7 +28,9 @@ TABLES: dict[str, str] = {
     "fact_marketing": "date date, channel_id int, campaign_name string, impressions bigint, clicks bigint, "
                       "leads bigint, conversions bigint, marketing_spend bigint",
 }
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in TABLES.items()}
+COLUMNS: dict[str, dict[str, str]] = {
+    name: dict(column.split() for column in ddl.split(", ")) for name, ddl in TABLES.items()
+}
 
 CENTS = frozenset({
     "unit_cost", "list_price", "unit_price", "discount_amount", "shipping_revenue", "product_cost",
@@ -50,34 +51,39 @@ SALES_DIMENSIONS: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-@dataclass(frozen=True)
 class Star:
-    """Six lazy tables.
+    """Six tables, each built when first asked for.
 
     ``narrow`` lets a source that assembles ``fact_sales`` from several tables
     skip the joins a query does not need; it takes the wanted column names.
     """
 
-    dim_date: DataFrame
-    dim_product: DataFrame
-    dim_customer: DataFrame
-    dim_channel: DataFrame
-    fact_sales: DataFrame
-    fact_marketing: DataFrame
-    narrow: Callable[[frozenset[str]], DataFrame] | None = None
+    def __init__(self, spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]],
+                 narrow: Callable[[frozenset[str]], DataFrame] | None = None) -> None:
+        self.spark = spark
+        self.narrow = narrow
+        self._tables = dict(tables)
+        self._built: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._tables[name]()
+        return self._built[name]
+
+    dim_date = property(lambda self: self.table("dim_date"))
+    dim_product = property(lambda self: self.table("dim_product"))
+    dim_customer = property(lambda self: self.table("dim_customer"))
+    dim_channel = property(lambda self: self.table("dim_channel"))
+    fact_sales = property(lambda self: self.table("fact_sales"))
+    fact_marketing = property(lambda self: self.table("fact_marketing"))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in TABLES}
+        return {name: self.table(name) for name in TABLES}
 
-    def with_tables(self, **tables: DataFrame) -> Star:
+    def with_tables(self, **tables: Callable[[], DataFrame]) -> Star:
         """Copy with some tables replaced; a replaced fact drops the narrow reader."""
-        if "fact_sales" in tables:
-            tables["narrow"] = None
-        return replace(self, **tables)
-
-    @property
-    def spark(self) -> SparkSession:
-        return self.fact_sales.sparkSession
+        narrow = None if "fact_sales" in tables else self.narrow
+        return Star(self.spark, {**self._tables, **tables}, narrow)
 
     def sales(self, *columns: str, how: str = "inner", where: Column | None = None,
               where_columns: Iterable[str] = ()) -> DataFrame:
@@ -93,7 +99,7 @@ class Star:
         for dim, (key, cols) in SALES_DIMENSIONS.items():
             missing = [c for c in cols if c in inputs and c not in lines.columns]
             if missing:
-                lines = lines.join(getattr(self, dim).select(key, *missing), key, how)
+                lines = lines.join(self.table(dim).select(key, *missing), key, how)
         lines = lines.select(*[
             F.expr(DERIVED[w][1]).alias(w) if w in DERIVED else F.col(w) for w in wanted
         ])
@@ -104,12 +110,11 @@ class Star:
 
 def read_star(spark: SparkSession, folder: str, raw: bool = False) -> Star:
     """Read six CSV files with a header. ``raw`` keeps every column as text, for validation."""
-    return Star(**{name: _read_csv(spark, f"{folder}/{name}.csv", name, raw) for name in TABLES})
+    return Star(spark, {name: partial(_read_csv, spark, f"{folder}/{name}.csv", name, raw) for name in TABLES})
 
 
 def _read_csv(spark: SparkSession, path: str, table: str, raw: bool) -> DataFrame:
-    schema = SCHEMAS[table]
-    text = ", ".join(f"`{f.name}` string" for f in schema)
+    text = ", ".join(f"`{name}` string" for name in COLUMNS[table])
     rows = spark.read.schema(text).csv(path, header=True, escape='"')
     rows = rows.select(*[F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in rows.columns])
     return rows if raw else typed(rows, table)
@@ -117,15 +122,15 @@ def _read_csv(spark: SparkSession, path: str, table: str, raw: bool) -> DataFram
 
 def typed(rows: DataFrame, table: str) -> DataFrame:
     """Text columns to the declared types; text that does not parse becomes null."""
-    def convert(field) -> Column:
-        column = F.col(field.name)
-        if field.name in CENTS:
+    def convert(name: str, kind: str) -> Column:
+        column = F.col(name)
+        if name in CENTS:
             return F.round(column.try_cast("decimal(30,6)") * 100).cast("bigint")
-        if field.dataType.typeName() == "integer":
+        if kind == "int":
             return column.try_cast("double").try_cast("int")  # a nullable int may be written as 1.0
-        return column.try_cast(field.dataType)
+        return column.try_cast(kind)
 
-    return rows.select(*[convert(f).alias(f.name) for f in SCHEMAS[table] if f.name in rows.columns])
+    return rows.select(*[convert(n, k).alias(n) for n, k in COLUMNS[table].items() if n in rows.columns])
 
 
 def _csv_text(rows: DataFrame) -> DataFrame:
@@ -160,7 +165,8 @@ def write_star(star: Star, folder: str, fmt: str = "parquet") -> dict[str, int]:
 
 def open_parquet_star(spark: SparkSession, folder: str) -> Star:
     """Tables written by :func:`write_star`."""
-    frames = {name: spark.read.parquet(f"{folder}/{name}") for name in TABLES}
-    frames["fact_sales"] = frames["fact_sales"].drop("year_month")
-    return Star(**frames)
+    def read(name: str) -> DataFrame:
+        rows = spark.read.parquet(f"{folder}/{name}")
+        return rows.drop("year_month") if name == "fact_sales" else rows
 
+    return Star(spark, {name: partial(read, name) for name in TABLES})

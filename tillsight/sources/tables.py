@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.sources.calendar import PERIOD_MONTHS, PERIOD_START, period_bounds, period_calendar
 from tillsight.sources.session import prepare
-from tillsight.sources.star import SCHEMAS, Star
+from tillsight.sources.star import COLUMNS, Star
 
 # The six sales channels.
 CHANNELS = (
@@ -56,56 +56,73 @@ def open_raw_star(spark: SparkSession, folder: str) -> Star:
         return _spoil_sales(sales_lines(spark, folder, columns | {"order_id", "line_number"}, None))
 
     clean = _star(spark, folder, narrow)
-    customers = clean.dim_customer.withColumns({
-        "city": F.expr("CASE WHEN customer_id % 100 <> 3 THEN city END"),
-        "region": F.expr("CASE WHEN customer_id % 200 <> 5 THEN region END"),
-        "customer_segment": F.expr(
-            r"CASE WHEN customer_id % 50 = 1 THEN concat('\t ', customer_segment, '  ') ELSE customer_segment END"),
-    })
-    products = clean.dim_product.withColumns({
-        "brand": F.expr("CASE WHEN product_id % 100 <> 7 THEN brand END"),
-        "subcategory": F.expr("CASE WHEN product_id % 100 <> 9 THEN subcategory END"),
-    })
-    return clean.with_tables(dim_customer=customers, dim_product=products)
+
+    def spoiled_customers() -> DataFrame:
+        return clean.dim_customer.withColumns({
+            "city": F.expr("CASE WHEN customer_id % 100 <> 3 THEN city END"),
+            "region": F.expr("CASE WHEN customer_id % 200 <> 5 THEN region END"),
+            "customer_segment": F.expr(r"CASE WHEN customer_id % 50 = 1 "
+                                       r"THEN concat('\t ', customer_segment, '  ') ELSE customer_segment END"),
+        })
+
+    def spoiled_products() -> DataFrame:
+        return clean.dim_product.withColumns({
+            "brand": F.expr("CASE WHEN product_id % 100 <> 7 THEN brand END"),
+            "subcategory": F.expr("CASE WHEN product_id % 100 <> 9 THEN subcategory END"),
+        })
+
+    return clean.with_tables(dim_customer=spoiled_customers, dim_product=spoiled_products)
 
 
 def _star(spark: SparkSession, folder: str, narrow: Callable[[frozenset[str]], DataFrame]) -> Star:
-    sales = SCHEMAS["fact_sales"].names
-    return Star(
-        dim_date=period_calendar(spark),
-        dim_product=products(spark, folder),
-        dim_customer=customers(spark, folder),
-        dim_channel=channel_rows(spark),
-        fact_sales=narrow(frozenset(sales)).select(*sales),
-        fact_marketing=marketing(spark, folder),
-        narrow=narrow,
-    )
+    sales = list(COLUMNS["fact_sales"])
+    return Star(spark, {
+        "dim_date": lambda: period_calendar(spark),
+        "dim_product": lambda: products(spark, folder),
+        "dim_customer": lambda: customers(spark, folder),
+        "dim_channel": lambda: channel_rows(spark),
+        "fact_sales": lambda: narrow(frozenset(sales)).select(*sales),
+        "fact_marketing": lambda: marketing(spark, folder),
+    }, narrow)
+
+
+# Declared, so that opening a table starts no job.
+SOURCES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_returnflag string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+}
 
 
 def _parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return spark.read.schema(SOURCES[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def _product_columns() -> list:
-    return [F.expr(e) for e in (
+def _product_columns() -> list[str]:
+    return [
         "p_partkey AS product_id",
         "p_name AS product_name",
         "p_type AS category",
         "concat(p_type, ' ', p_size % 5) AS subcategory",
         "p_brand AS brand",
         "CAST(p_partkey % 10 <> 0 AS INT) AS active_flag",
-    )]
+    ]
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    priced = _parquet(spark, folder, "part").withColumn(
-        "list_price", F.expr("CAST(round(p_retailprice * 100, 0) AS BIGINT)"))
-    return priced.select(
+    priced = _parquet(spark, folder, "part").selectExpr(
+        "*", "CAST(round(p_retailprice * 100, 0) AS BIGINT) AS list_price")
+    return priced.selectExpr(
         *_product_columns(),
         "list_price",
-        F.expr(f"(list_price * {COST_RATE}) div 100 AS unit_cost"),
-        F.expr("concat('Supplier ', p_partkey % 6) AS supplier"),
-    ).select(*SCHEMAS["dim_product"].names)
+        f"(list_price * {COST_RATE}) div 100 AS unit_cost",
+        "concat('Supplier ', p_partkey % 6) AS supplier",
+    ).select(*COLUMNS["dim_product"])
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,14 +130,14 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         _parquet(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     joined = _parquet(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     channel = "CASE c_custkey % 6 " + " ".join(f"WHEN {i - 1} THEN '{name}'" for i, name, _ in CHANNELS) + " END"
-    return joined.select(*[F.expr(e) for e in (
+    return joined.selectExpr(
         "c_custkey AS customer_id",
         "c_mktsegment AS customer_segment",
         "n_name AS city",
         "r_name AS region",
         "date_add(DATE'1999-07-05', CAST((c_custkey * 37) % 727 AS INT)) AS acquisition_date",
         f"{channel} AS acquisition_channel",
-    )])
+    )
 
 
 def marketing(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +157,7 @@ def marketing(spark: SparkSession, folder: str) -> DataFrame:
     )
     channel = "CASE channel_id " + " ".join(f"WHEN {i} THEN '{name}'" for i, name, _ in CHANNELS) + " END"
     campaign = f"concat({channel}, ' ', year(date), 'Q', quarter(date)) AS campaign_name"
-    return days.withColumn("campaign_name", F.expr(campaign)).select(*SCHEMAS["fact_marketing"].names)
+    return days.withColumn("campaign_name", F.expr(campaign)).select(*COLUMNS["fact_marketing"])
 
 
 def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
@@ -150,7 +167,7 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
     Foreign keys are taken as declared: a join that only checks for a match is
     left out. Orders come last, so that a grouping by order needs no new shuffle.
     """
-    lines = _parquet(spark, folder, "lineitem").select(*[F.expr(e) for e in (
+    lines = _parquet(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS order_id",
         "l_partkey AS product_id",
         "l_linenumber AS line_number",
@@ -159,7 +176,7 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
         "CAST(round(l_extendedprice * 100, 0) AS BIGINT) div CAST(l_quantity AS INT) AS unit_price",
         "CAST(round(l_discount * 100, 0) AS BIGINT) AS discount_points",
         "l_returnflag",
-    )]).selectExpr(
+    ).selectExpr(
         "*",
         "quantity * unit_price AS gross_list",
         "(quantity * unit_price * discount_points * 4) div 100 AS discount_amount",
@@ -175,8 +192,7 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
     found = ["order_id", "product_id", "line_number", "channel_id", "quantity", "unit_price", "discount_amount",
              "shipping_revenue", "shipping_cost", "payment_fee", "returned_flag", "refund_amount"]
     if columns & PART_COLUMNS:
-        part = _parquet(spark, folder, "part").select(
-            *_product_columns(), F.expr(f"{COST_RATE} AS cost_rate"))
+        part = _parquet(spark, folder, "part").selectExpr(*_product_columns(), f"{COST_RATE} AS cost_rate")
         lines = lines.join(part, "product_id").withColumn(
             "product_cost", F.expr("(gross_list * cost_rate) div 100"))
         found += sorted(PART_COLUMNS)
