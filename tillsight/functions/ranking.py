@@ -22,15 +22,19 @@ def ntile_last_rank(bucket: int, n: Column) -> Column:
     return F.lit(bucket) * F.call_function("div", n, F.lit(BUCKETS)) + F.least(F.lit(bucket), n % BUCKETS)
 
 
+Edges = dict[str, list[tuple]]
+
+
 def bucket_edges(rows: DataFrame, id_column: str, metrics: list[str],
-                 last_rank: Callable[[int, Column], Column]) -> DataFrame:
-    """One row: for each bigint metric and bucket, the (value, id) of the last row in that bucket.
+                 last_rank: Callable[[int, Column], Column]) -> Edges:
+    """For each bigint metric, the (value, id) of the last row in buckets 1 to 4.
 
     Rows are ranked by (value, id). All metrics are range-sorted together, in one
     shuffle; ids make every key unique, so a value shared by most rows still
     spreads over many partitions. Only partition sizes are summed afterwards.
     The sorted keys are checkpointed, because a range partitioning computed
-    twice need not put a row in the same place.
+    twice need not put a row in the same place. Four pairs per metric come back
+    to the driver, to be compared with as constants.
     """
     shared_folder(rows.sparkSession)
     keys = rows.select(
@@ -40,39 +44,39 @@ def bucket_edges(rows: DataFrame, id_column: str, metrics: list[str],
         ])).alias("key"),
         F.col(id_column).alias("id"),
     ).select("key.metric", "key.value", "id")
-    order = ["metric", "value", "id"]
-    placed = keys.repartitionByRange(*order).sortWithinPartitions(*order) \
+    placed = numbered(keys, ["metric", "value", "id"], "rank")
+    n = F.call_function("div", placed.agg(F.count(F.lit(1))).scalar(), F.lit(len(metrics)))
+    ranked = placed.withColumn("n", n).withColumn("rank", F.col("rank") - F.col("metric") * F.col("n"))
+    last = F.array(*[last_rank(b, F.col("n")) for b in range(1, BUCKETS)])
+    found = ranked.filter(F.array_contains(last, F.col("rank"))).select("metric", "value", "id", F.explode(
+        F.filter(F.transform(last, lambda x, i: F.when(x == F.col("rank"), i)), lambda i: i.isNotNull())
+    ).alias("edge")).orderBy("metric", "edge").collect()
+    return {m: [(r["value"], r["id"]) for r in found if r["metric"] == i] for i, m in enumerate(metrics)}
+
+
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Number rows 1..n in the order of ``order``, whose values must be unique, without a single-task sort.
+
+    A range sort places the rows, a checkpoint fixes them where they are, and
+    only the partition sizes are summed.
+    """
+    shared_folder(rows.sparkSession)
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order) \
         .withColumn("position", F.monotonically_increasing_id()).checkpoint() \
-        .withColumns({
-            "part": F.shiftright("position", ROW_BITS),
-            "row": F.col("position").bitwiseAND(2**ROW_BITS - 1),
-        })
-    # One row per partition: this window is as long as the partition count.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
-    starts = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0))).drop("size")
-    n = F.call_function("div", sizes.agg(F.sum("size")).scalar(), F.lit(len(metrics)))
-    ranked = placed.join(F.broadcast(starts), "part").withColumn("n", n).withColumn(
-        "rank", F.col("start") + F.col("row") + 1 - F.col("metric") * F.col("n"))
-    edges = [
-        F.max(F.when((F.col("metric") == i) & (F.col("rank") == last_rank(b, F.col("n"))),
-                     F.struct("value", "id"))).alias(edge_name(m, b))
-        for i, m in enumerate(metrics) for b in range(1, BUCKETS)
-    ]
-    return ranked.agg(*edges)
-
-
-def edge_name(metric: str, bucket: int) -> str:
-    return f"{metric}_{bucket}"
-
-
-def bucket_of(metric: str, id_column: str, edges: str) -> Column:
+        .withColumn("part", F.shiftright("position", ROW_BITS))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size")) \
+        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    number = F.col("start") + F.col("position").bitwiseAND(2**ROW_BITS - 1) + 1
+    return placed.join(F.broadcast(starts), "part").select(*rows.columns, number.alias(name))
+
+
+def bucket_of(metric: str, id_column: str, edges: Edges) -> Column:
     """Bucket 1..5 of a row: one more than the number of edges its (value, id) lies beyond."""
     bucket = F.lit(1)
-    for b in range(1, BUCKETS):
-        edge = F.col(edges)[edge_name(metric, b)]
-        value = F.col(metric).cast("bigint")
-        beyond = (value > edge["value"]) | ((value == edge["value"]) & (F.col(id_column) > edge["id"]))
+    value = F.col(metric).cast("bigint")
+    for edge_value, edge_id in edges[metric]:
+        beyond = (value > edge_value) | ((value == edge_value) & (F.col(id_column) > F.lit(edge_id)))
         bucket = bucket + F.when(beyond, 1).otherwise(0)
     return bucket
 
@@ -88,8 +92,10 @@ def exact_median(values: DataFrame, column: str) -> Column:
     from three levels of 21-bit digits: no window sorts more than 2**21 rows,
     however many values there are.
     """
-    counts = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("v")) \
-        .agg(F.count(F.lit(1)).alias("n")) \
+    # Nulls join the group of 0 with a count of nothing. A null filter would be pushed into the caller's
+    # plan and keep Spark from reusing its shuffle here.
+    counts = values.groupBy(F.coalesce(F.col(column).cast("bigint"), F.lit(0)).alias("v")) \
+        .agg(F.count(column).alias("n")) \
         .select("v", "n", F.shiftright("v", 2 * DIGIT_BITS).alias("high"), F.shiftright("v", DIGIT_BITS).alias("middle"))
 
     def running(rows: DataFrame, within: list[str], digit: str, before: str) -> DataFrame:

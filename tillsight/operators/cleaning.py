@@ -116,7 +116,7 @@ def clean_lines(raw: Star) -> DataFrame:
     """The cleaned star seen from its lines: repaired amounts and descriptions."""
     return clean_star(raw).sales(
         "order_id", "product_id", "customer_id", "quantity", "discount_amount", "shipping_cost",
-        "brand", "subcategory", "city", "region", "customer_segment")
+        "brand", "subcategory", "city", "region", "customer_segment", how="left")
 
 
 def reconcile_revenue(raw: Star, clean: Star) -> DataFrame:
@@ -135,37 +135,40 @@ def reconcile_revenue(raw: Star, clean: Star) -> DataFrame:
 
 
 def cleaning_log(raw: Star) -> DataFrame:
-    """Rows in and out, copies removed, nulls filled and text stripped, as (metric, item, value)."""
-    def row_counts(table: str) -> DataFrame:
-        return raw.table(table).agg(F.count(F.lit(1)).alias("rows_in")).select(
-            F.lit(table).alias("item"), "rows_in", F.col("rows_in").alias("rows_out"))
-
-    sales = raw.fact_sales.groupBy(*raw.fact_sales.columns).agg(F.count(F.lit(1)).alias("copies"))
-    # One pass over the distinct lines gives every number about sales.
-    facts = sales.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"), F.count(F.lit(1)).alias("rows_out"),
-        F.count_if(F.col("discount_amount").isNull()).alias("discount_amount"),
-        F.count_if(F.col("shipping_cost").isNull()).alias("shipping_cost"))
-    tables = reduce(DataFrame.unionByName, [row_counts(t) for t in TABLES if t != "fact_sales"]).unionByName(
-        facts.select(F.lit("fact_sales").alias("item"), "rows_in", "rows_out"))
-    counts = tables.withColumn("delta", F.col("rows_out") - F.col("rows_in")).unpivot(
-        "item", ["rows_in", "rows_out", "delta"], "metric", "value")
-    removed = facts.select(F.lit("fact_sales").alias("item"), F.lit("duplicates_removed").alias("metric"),
-                           (F.col("rows_in") - F.col("rows_out")).alias("value"))
-    fills = facts.select("discount_amount", "shipping_cost").unpivot(
-        [], ["discount_amount", "shipping_cost"], "column_name", "n").select(
-        F.concat(F.lit("fact_sales."), "column_name").alias("column_name"), "n")
-    for table, columns in UNKNOWN_COLUMNS.items():
-        nulls = _counted(raw.table(table), {c: F.col(c).isNull() for c in columns})
-        fills = fills.unionByName(nulls.select(F.concat(F.lit(f"{table}."), "column_name").alias("column_name"), "n"))
-    filled = fills.filter("n > 0").select(
-        F.col("column_name").alias("item"), F.lit("nulls_filled").alias("metric"), F.col("n").alias("value"))
-    stripped = text_changes(raw).select(
-        F.col("column_name").alias("item"), F.lit("text_normalized").alias("metric"), F.col("n").alias("value"))
-    corrected = removed.select("value").unionByName(filled.select("value")).agg(F.sum("value").alias("value")).select(
-        F.lit("all").alias("item"), F.lit("corrected").alias("metric"), "value")
-    return reduce(DataFrame.unionByName, [counts, removed, filled, stripped, corrected]).select(
-        "metric", "item", F.col("value").cast("bigint").alias("value"))
+    """Rows in and out, copies removed, nulls filled and text stripped, as (metric, item, value).
+
+    One aggregate per table gives all of its entries. Entries that count as a
+    correction also feed the total.
+    """
+    lines = raw.fact_sales.groupBy(*raw.fact_sales.columns).agg(F.count(F.lit(1)).alias("copies"))
+    parts = []
+    for table in TABLES:
+        sales = table == "fact_sales"
+        rows = lines if sales else raw.table(table)
+        rows_in = F.sum("copies") if sales else F.count(F.lit(1))
+        fills = ("discount_amount", "shipping_cost") if sales else UNKNOWN_COLUMNS.get(table, ())
+        texts = [c for c in TEXT_COLUMNS.get(table, ()) if c in rows.columns]
+        counts = rows.agg(
+            F.coalesce(rows_in, F.lit(0)).alias("rows_in"), F.count(F.lit(1)).alias("rows_out"),
+            *[F.count_if(F.col(c).isNull()).alias(f"filled_{c}") for c in fills],
+            *[F.count_if(strip(c) != F.col(c)).alias(f"stripped_{c}") for c in texts])
+        entries = [_entry("rows_in", table, "rows_in"), _entry("rows_out", table, "rows_out"),
+                   _entry("delta", table, "rows_out - rows_in")]
+        if sales:
+            entries += [_entry(m, i, "rows_in - rows_out") for m, i in (("duplicates_removed", table), TOTAL)]
+        for c in fills:
+            entries += [_entry(m, i, f"nullif(filled_{c}, 0)") for m, i in (("nulls_filled", f"{table}.{c}"), TOTAL)]
+        entries += [_entry("text_normalized", f"{table}.{c}", f"nullif(stripped_{c}, 0)") for c in texts]
+        parts.append(counts.select(F.explode(F.array(*entries)).alias("e")).select("e.*"))
+    return reduce(DataFrame.unionByName, parts).filter("value IS NOT NULL") \
+        .groupBy("metric", "item").agg(F.sum("value").alias("value"))
+
+
+TOTAL = ("corrected", "all")
+
+
+def _entry(metric: str, item: str, value: str) -> Column:
+    return F.struct(F.lit(metric).alias("metric"), F.lit(item).alias("item"), F.expr(value).alias("value"))
 
 
 def validation_before_after(raw: Star, clean: Star) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tillsight.functions.ranking import ROW_BITS
+from tillsight.functions.ranking import numbered
 from tillsight.sources.session import shared_folder
 from tillsight.sources.star import TABLES, Star, open_parquet_star, write_star
 from tillsight.sources.tables import channel_rows
@@ -56,17 +56,8 @@ def seed_channels(star: Star) -> DataFrame:
 def with_surrogate_key(rows: DataFrame, name: str, order: list[str] | None = None) -> DataFrame:
     """Number rows. Without ``order`` the ids are unique but have gaps and cost nothing.
 
-    With ``order`` they run 1..n in that order: a range sort places the rows,
-    a checkpoint fixes them, and only partition sizes are summed.
+    With ``order`` they run 1..n in that order, whose values must be unique.
     """
     if order is None:
         return rows.select(F.monotonically_increasing_id().alias(name), "*")
-    shared_folder(rows.sparkSession)
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order) \
-        .withColumn("position", F.monotonically_increasing_id()).checkpoint() \
-        .withColumn("part", F.shiftright("position", ROW_BITS))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("size")) \
-        .select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    number: Column = F.col("start") + F.col("position").bitwiseAND(2**ROW_BITS - 1) + 1
-    return placed.join(F.broadcast(starts), "part").select(number.alias(name), *rows.columns)
+    return numbered(rows, order, name).select(name, *rows.columns)

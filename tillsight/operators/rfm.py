@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.money import money, pct, pct2, ratio, rounded, wide_sum
@@ -61,34 +63,38 @@ def _with_recency(customers: DataFrame) -> DataFrame:
 
 def rfm_base(star: Star) -> DataFrame:
     """Recency, frequency and monetary value of every buyer."""
-    return _with_recency(_customers(star)).select(
+    return _with_recency(_reduced_customers(star)).select(
         "customer_id", "last_order_date", "frequency", money("monetary").alias("monetary"), "recency_days")
 
 
-def _scored(star: Star, last_rank, recency_order: str) -> DataFrame:
-    # Ranking and scoring read the customers several times: reduce the fact to them once.
+def _reduced_customers(star: Star) -> DataFrame:
+    """Customers kept in the checkpoint folder: what follows reads them several times, the fact only once."""
     shared_folder(star.spark)
-    customers = _with_recency(_customers(star).checkpoint()) \
-        .withColumn("recency_key", F.expr(recency_order).cast("bigint"))
+    return _customers(star).checkpoint()
+
+
+def _scored(star: Star, last_rank: Callable[[int, Column], Column], recency_key: str) -> DataFrame:
+    customers = _with_recency(_reduced_customers(star)) \
+        .withColumn("recency_key", F.expr(recency_key).cast("bigint"))
     edges = bucket_edges(customers, "customer_id", ["recency_key", "frequency", "monetary"], last_rank)
-    edge_row = edges.select(F.struct(*edges.columns)).scalar()
-    return customers.withColumn("edges", edge_row).withColumns({
-        "r_bucket": bucket_of("recency_key", "customer_id", "edges"),
-        "f_score": bucket_of("frequency", "customer_id", "edges"),
-        "m_score": bucket_of("monetary", "customer_id", "edges"),
+    return customers.withColumns({
+        "r_bucket": bucket_of("recency_key", "customer_id", edges),
+        "f_score": bucket_of("frequency", "customer_id", edges),
+        "m_score": bucket_of("monetary", "customer_id", edges),
     })
 
 
 def quintile_scores(star: Star) -> DataFrame:
     """Buyers with rank-quintile scores, in cents. Few days score high; ties go by customer id,
     so among equal recencies a smaller id scores higher."""
-    scored = _scored(star, quintile_last_rank, "recency_days").withColumn("r_score", 6 - F.col("r_bucket"))
-    return _buyer_columns(scored)
+    scored = _scored(star, quintile_last_rank, "-unix_date(last_order_date)")
+    return _buyer_columns(scored.withColumn("r_score", 6 - F.col("r_bucket")))
 
 
 def ntile_scores(star: Star) -> DataFrame:
     """Buyers with NTILE(5) scores, in cents, oldest last order first; ties go by customer id."""
-    return _buyer_columns(_scored(star, ntile_last_rank, "-recency_days").withColumnRenamed("r_bucket", "r_score"))
+    scored = _scored(star, ntile_last_rank, "unix_date(last_order_date)")
+    return _buyer_columns(scored.withColumnRenamed("r_bucket", "r_score"))
 
 
 def _buyer_columns(scored: DataFrame) -> DataFrame:

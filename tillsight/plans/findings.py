@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.money import money, pct, ratio, wide_sum
 from tillsight.operators import marketing, rfm, sales
@@ -22,14 +22,15 @@ def finding_totals(star: Star) -> DataFrame:
 
 def finding_loss_categories(star: Star, named: str = NAMED_CATEGORY) -> DataFrame:
     """Categories that lose money, the most profitable one and one named category."""
+    everything = Window.partitionBy()  # one row per category
     categories = sales.category_totals(star)
-    best = categories.agg(F.max_by("category", F.struct("gross_profit", "category"))).scalar()
+    best = F.max_by("category", F.struct("gross_profit", "category")).over(everything)
     roles = F.array_compact(F.array(
         F.when(F.col("gross_profit") < 0, "loss"),
-        F.when(F.col("category") == best, "top"),
+        F.when(F.col("category") == F.col("best"), "top"),
         F.when(F.col("category") == named, "named"),
     ))
-    return categories.withColumn("role", F.explode(roles)).select(
+    return categories.withColumn("best", best).withColumn("role", F.explode(roles)).select(
         "role", "category", money("revenue").alias("revenue"), money("gross_profit").alias("gross_profit"),
         pct("gross_profit", "revenue").alias("gross_margin_pct"))
 

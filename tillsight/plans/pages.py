@@ -107,8 +107,9 @@ def ops_discount(star: Star) -> DataFrame:
 def ops_alerts(star: Star) -> DataFrame:
     """Products that lose money or whose order return rate reaches the rate over all products."""
     totals = sales.order_totals(star, ["product_id"], ["revenue", "gross_profit"])
-    overall = totals.agg(F.struct(
-        F.sum("orders").alias("orders"), F.sum("returned_orders").alias("returned_orders"))).scalar()
+    # All columns of the totals take part, so that both readers of the totals share one shuffle.
+    overall = totals.agg(F.struct(*[
+        F.sum(c).alias(c) for c in ("orders", "returned_orders", "revenue", "gross_profit")])).scalar()
     flagged = totals.withColumn("all", overall).withColumns({
         "negative_margin": F.col("gross_profit") < 0,
         "high_return": F.col("returned_orders") * F.col("all.orders")
