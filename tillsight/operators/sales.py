@@ -305,10 +305,23 @@ def mean_margin_pct(margin_sum: str, margin_count: str) -> Column:
 
 def margin_by_discount_bucket(star: Star) -> DataFrame:
     """Mean of line margins per discount level."""
-    levels = line_margins(star, "discount_level").filter(F.col("discount_level").isNotNull()) \
-        .groupBy("discount_level").agg(
-            F.sum(F.col("margin").cast("decimal(19,0)")).alias("total"), F.count("margin").alias("n"))
-    return levels.select("discount_level", mean_margin_pct("total", "n").alias("margin_pct"))
+    levels = line_margins(star, "discount_level").groupBy("discount_level").agg(
+        F.sum(F.col("margin").cast("decimal(19,0)")).alias("total"), F.count("margin").alias("n"),
+        F.count("discount_level").alias("lines"))
+    return levels.filter("lines > 0").select("discount_level", mean_margin_pct("total", "n").alias("margin_pct"))
+
+
+def discount_levels(star: Star) -> DataFrame:
+    """Sums per discount level, in cents.
+
+    Lines without a level go by their count, after grouping: a null filter on
+    the level would be pushed down to the scan with the whole CASE in it.
+    """
+    sums = ("discount_amount", "list_amount", "revenue", "gross_profit")
+    per_channel = star.sales("discount_level", "channel_id", *sums).groupBy("discount_level", "channel_id").agg(
+        F.count("discount_level").alias("lines"), *[F.sum(c).alias(c) for c in sums])
+    return per_channel.groupBy("discount_level").agg(
+        F.sum("lines").alias("lines"), *[wide_sum(c).alias(c) for c in sums]).filter("lines > 0")
 
 
 def table_totals(star: Star) -> DataFrame:

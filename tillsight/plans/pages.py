@@ -100,8 +100,9 @@ def ops_shipping(star: Star) -> DataFrame:
 
 def ops_discount(star: Star) -> DataFrame:
     """Average discount and margin by discount level, as ratios of sums."""
-    return measures(star, ["discount_level"], ["average_discount", "gross_margin"]) \
-        .filter(F.col("discount_level").isNotNull())
+    return sales.discount_levels(star).select(
+        "discount_level", ratio("discount_amount", "list_amount").alias("average_discount"),
+        ratio("gross_profit", "revenue").alias("gross_margin"))
 
 
 def ops_alerts(star: Star) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +17,12 @@ def period_bounds(start: date | Column, n_months: int | Column) -> tuple[Column,
     return first, F.date_sub(F.add_months(first, months), 1)
 
 
+def period_days(start: date, n_months: int) -> tuple[date, date]:
+    """:func:`period_bounds` of a constant period, for a start on the first of a month."""
+    months = start.year * 12 + start.month - 1 + n_months
+    return start, date(months // 12, months % 12 + 1, start.day) - timedelta(days=1)
+
+
 def calendar_spine(bounds: DataFrame) -> DataFrame:
     """One row per day between ``first`` and ``last`` of the one-row ``bounds``."""
     return bounds.select(F.explode(F.sequence("first", "last")).alias("date")).select(

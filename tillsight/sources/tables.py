@@ -30,6 +30,7 @@ CHANNELS = (
 PERIOD = (PERIOD_START, PERIOD_MONTHS)
 ORDER_COLUMNS = frozenset({"order_date", "customer_id"})
 PART_COLUMNS = frozenset({"product_cost", "product_name", "category", "subcategory", "brand", "active_flag"})
+# Cents are floor(x * 100 + 0.5): round() on doubles goes through BigDecimal for every row.
 COST_RATE = "(40 + p_partkey % 50 + CASE WHEN p_type = 'PROMO' THEN 12 ELSE 0 END)"
 
 
@@ -116,7 +117,7 @@ def _product_columns() -> list[str]:
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
     priced = _parquet(spark, folder, "part").selectExpr(
-        "*", "CAST(round(p_retailprice * 100, 0) AS BIGINT) AS list_price")
+        "*", "floor(p_retailprice * 100 + 0.5D) AS list_price")
     return priced.selectExpr(
         *_product_columns(),
         "list_price",
@@ -146,7 +147,7 @@ def marketing(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("CAST(2 + user_id % 4 AS INT) AS channel_id"),
         F.expr("date_add(DATE'2000-01-01', CAST(event_id % 547 AS INT)) AS date"),
         "event_type",
-        F.expr("CAST(round(value * 100, 0) AS BIGINT) * 10 AS spend"),
+        F.expr("floor(value * 100 + 0.5D) * 10 AS spend"),
     )
     days = events.groupBy("channel_id", "date").agg(
         (F.count(F.lit(1)) * 20).alias("impressions"),
@@ -173,8 +174,8 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
         "l_linenumber AS line_number",
         "CAST(1 + l_orderkey % 6 AS INT) AS channel_id",
         "CAST(l_quantity AS INT) AS quantity",
-        "CAST(round(l_extendedprice * 100, 0) AS BIGINT) div CAST(l_quantity AS INT) AS unit_price",
-        "CAST(round(l_discount * 100, 0) AS BIGINT) AS discount_points",
+        "floor(l_extendedprice * 100 + 0.5D) div CAST(l_quantity AS INT) AS unit_price",
+        "floor(l_discount * 100 + 0.5D) AS discount_points",
         "l_returnflag",
     ).selectExpr(
         "*",
