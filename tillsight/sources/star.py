@@ -152,7 +152,10 @@ def write_star(star: Star, folder: str, fmt: str = "parquet") -> dict[str, int]:
         seen = Observation(f"rows_{name}")
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
         if fmt == "csv":
-            _csv_text(rows).write.mode("overwrite").csv(f"{folder}/{name}.csv", header=True, escape='"')
+            # Spark would strip text on writing; stripping is the cleaning job's to do and count.
+            _csv_text(rows).write.mode("overwrite").csv(
+                f"{folder}/{name}.csv", header=True, escape='"',
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         elif name == "fact_sales":
             months = rows.withColumn("year_month", F.date_format("order_date", "yyyy-MM"))
             (months.hint("rebalance", "year_month").write.mode("overwrite")
