@@ -90,7 +90,8 @@ def test_category_answer_needs_no_shuffle_by_order_after_the_order_join(spark, f
 
 @pytest.fixture
 def hot(spark, folder, tmp_path):
-    """The given tables with one product on a third of all lines, and thresholds low enough to notice it."""
+    """The given tables with one product and one order on a third of all lines each, and thresholds low
+    enough to notice it."""
     low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -100,7 +101,9 @@ def hot(spark, folder, tmp_path):
         spark.read.parquet(f"{folder}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     spread = lines.withColumn("l_partkey", F.when(F.col("l_linenumber") % 3 == 0, F.lit(7).cast("bigint"))
-                              .otherwise(F.col("l_partkey")))
+                              .otherwise(F.col("l_partkey"))) \
+        .withColumn("l_orderkey", F.when(F.col("l_linenumber") % 3 == 1, F.lit(11).cast("bigint"))
+                    .otherwise(F.col("l_orderkey")))
     # Several map outputs, so that a hot partition can be cut between them.
     spread.repartition(16).write.parquet(f"{tmp_path}/lineitem.parquet")
     before = {k: spark.conf.get(k, None) for k in low}
@@ -129,6 +132,15 @@ def test_hot_product_totals_are_split_too(spark, hot):
     assert "skew=true" in final_plan(sales.product_profitability(open_star(spark, hot)))
 
 
+def test_hot_order_is_split_before_orders_are_counted(spark, hot):
+    # Grouping starts with the join key here as well.
+    whole = open_star(spark, hot)
+    months = sales.monthly_totals(whole)
+    assert "skew=true" in final_plan(months)
+    counted = whole.sales("month_start", "order_id").groupBy("month_start").agg(F.countDistinct("order_id").alias("n"))
+    assert {r.month_start: r.orders for r in months.collect()} == {r.month_start: r.n for r in counted.collect()}
+
+
 def test_measures_reduce_before_they_shuffle(spark, folder):
     text = plan(measures.measures_by_category(open_star(spark, folder)))
     for block in re.findall(r"Exchange hashpartitioning\(category.*\n(.*)", text):
