@@ -114,6 +114,11 @@ def test_tiny_discount_counts_as_none_in_levels_but_not_in_the_gap(spark):
     assert gap.without_discount_pct == 75.0 and gap.with_discount_pct == pytest.approx(50.0005, abs=1e-4)
 
 
+def test_margins_of_enormous_lines(spark):
+    lines = [line("O1", "2024-01-15", "C", "P", 1, 1, 4e9, cost=1e9), line("O2", "2024-01-15", "C", "P", 1, 1, 4, cost=3)]
+    assert sales.margin_by_discount_bucket(star(spark, fact_sales=lines)).first().margin_pct == 50.0
+
+
 def test_exact_rounding(spark):
     row = spark.sql("SELECT 1L a, 800L b, -1L c, 0L z").select(
         pct2("a", "b").alias("up"), pct2("c", "b").alias("down"), pct2("a", "z").alias("none"),

@@ -294,7 +294,10 @@ def line_margins(star: Star, *columns: str) -> DataFrame:
     """``columns`` and the margin of each line in 1e-8; null unless revenue is positive."""
     lines = star.sales(*dict.fromkeys([*columns, "list_amount", "revenue", "gross_profit"]),
                        where=F.col("list_amount") > 0)
-    margin = F.expr(f"CASE WHEN revenue > 0 THEN (gross_profit * {MARGIN_UNITS}L) div revenue END")
+    # Longs as long as they fit: decimals only for lines beyond 900 million.
+    margin = F.expr(
+        f"CASE WHEN revenue > 0 AND abs(gross_profit) < 90000000000 THEN (gross_profit * {MARGIN_UNITS}L) div revenue "
+        f"WHEN revenue > 0 THEN (CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div revenue END")
     return lines.select(*columns, margin.alias("margin"))
 
 
