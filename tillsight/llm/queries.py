@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import bpe_codec, secrets, simhash, token_counts
+from tillsight.llm import bpe_codec, chat, decontamination, langid, quality_rules, secrets, simhash, substring_dedup, token_counts, url_filter
 from tillsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, folder, "documents"))
+
+
 def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_codec.encode_digests(table(spark, folder, "documents"), VOCABULARY, keep=["doc_id"])
 
@@ -30,14 +34,41 @@ def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def substring_dedup_words(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_substrings(table(spark, folder, "documents"), texts=False)
+
+
+def benchmark_hits(spark: SparkSession, folder: str) -> DataFrame:
+    marked = decontamination.mark(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def chat_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.conversation_digests(table(spark, folder, "conversations"))
+
+
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.language_verdicts(table(spark, folder, "documents"))
+
+
+def url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.url_verdicts(table(spark, folder, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_adaptive_quality": adaptive_quality,
         "op2_bpe_round_trip": bpe_round_trip,
         "op3_secret_scan": secret_scan,
         "op4_token_count": token_count,
         "op5_simhash_near_dedup": simhash_near_duplicates,
+        "op6_substring_dedup": substring_dedup_words,
+        "op7_benchmark_decontamination": benchmark_hits,
+        "op8_chat_formatting": chat_digests,
+        "op9_language_id": language_id,
+        "op10_url_filters": url_filters,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_formatting": chat.digests_sql()}
