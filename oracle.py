@@ -12,8 +12,9 @@ CHANNELS = """(VALUES (1,'Organic Search','Organic'),(2,'Paid Search','Paid'),(3
 
 DIMENSIONS = f"""
 dim_channel AS (SELECT * FROM {CHANNELS}),
-dim_date AS (
-  SELECT CAST(d AS DATE) AS date FROM range(DATE '2000-01-01', DATE '2001-07-01', INTERVAL 1 DAY) r(d)),
+span AS (SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS first,
+  last_day(CAST(max(o_orderdate) AS DATE)) AS last FROM orders),
+dim_date AS (SELECT CAST(unnest(generate_series(first, last, INTERVAL 1 DAY)) AS DATE) AS date FROM span),
 dim_product AS (
   SELECT *, (list_price * (40 + product_id % 50 + CASE WHEN category='PROMO' THEN 12 ELSE 0 END)) // 100 AS unit_cost
   FROM (SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
@@ -23,7 +24,7 @@ dim_product AS (
     CASE WHEN p_partkey % 10 <> 0 THEN 1 ELSE 0 END AS active_flag FROM part)),
 dim_customer AS (
   SELECT c_custkey AS customer_id, c_mktsegment AS customer_segment, n_name AS city, r_name AS region,
-    DATE '1999-07-05' + CAST((c_custkey*37) % 727 AS INTEGER) AS acquisition_date,
+    (SELECT first + CAST((c_custkey*37) % (last - first + 181) - 180 AS INTEGER) FROM span) AS acquisition_date,
     channel_name AS acquisition_channel
   FROM customer JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey
   JOIN dim_channel ON channel_id = 1 + c_custkey % 6),
@@ -31,25 +32,22 @@ fact_marketing AS (
   SELECT date, e.channel_id,
     channel_name || ' ' || CAST(year(date) AS VARCHAR) || 'Q' || CAST(quarter(date) AS VARCHAR) AS campaign_name,
     impressions, clicks, leads, conversions, marketing_spend
-  FROM (SELECT DATE '2000-01-01' + CAST(event_id % 547 AS INTEGER) AS date, CAST(2 + user_id % 4 AS INTEGER) AS channel_id,
+  FROM (SELECT (SELECT first + CAST(event_id % (last - first + 1) AS INTEGER) FROM span) AS date, CAST(2 + user_id % 4 AS INTEGER) AS channel_id,
       count(*)*20 AS impressions, CAST(sum(CASE WHEN event_type='click' THEN 4 ELSE 1 END) AS BIGINT) AS clicks,
       count(*) FILTER (event_type='signup') AS leads, count(*) FILTER (event_type='purchase') AS conversions,
       CAST(sum(CAST(round(value*100, 0) AS BIGINT)*10) AS BIGINT) AS marketing_spend
     FROM events GROUP BY ALL) e JOIN dim_channel c ON e.channel_id=c.channel_id)"""
 
 
-def _lines(where: str = "TRUE") -> str:
-    """Clean sales lines; the line number stays for the raw view."""
-    return f"""
+LINES = """
 base AS (
   SELECT l_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_custkey AS customer_id,
     l_partkey AS product_id, l_linenumber AS ln, CAST(1 + l_orderkey % 6 AS INTEGER) AS channel_id,
     CAST(l_quantity AS INTEGER) AS quantity,
-    CAST(round(l_extendedprice*100, 0) AS BIGINT) // CAST(l_quantity AS INTEGER) AS unit_price,
+    CAST(round(l_extendedprice*100, 0) AS BIGINT) // nullif(CAST(l_quantity AS INTEGER), 0) AS unit_price,
     CAST(round(l_discount*100, 0) AS BIGINT) AS dp, l_returnflag,
-    40 + l_partkey % 50 + CASE WHEN p_type='PROMO' THEN 12 ELSE 0 END AS cost_rate
-  FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN part ON l_partkey=p_partkey
-  WHERE {where}),
+    40 + p_partkey % 50 + CASE WHEN p_type='PROMO' THEN 12 ELSE 0 END AS cost_rate
+  FROM lineitem LEFT JOIN orders ON l_orderkey=o_orderkey LEFT JOIN part ON l_partkey=p_partkey),
 amounts AS (
   SELECT *, quantity*unit_price AS lst, (quantity*unit_price*dp*4) // 100 AS discount_amount,
     CASE WHEN (order_id*7+ln*3) % 10 < 4 THEN 0 ELSE 300 + (order_id*13+ln) % 600 END AS shipping_revenue,
@@ -72,15 +70,9 @@ s AS (
   FROM (SELECT *, quantity*unit_price AS lst, quantity*unit_price - discount_amount + shipping_revenue AS rev
         FROM fact_sales))"""
 
-IN_PERIOD = "o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-07-01'"
-
 
 def whole(sql: str) -> str:
-    return f"WITH {DIMENSIONS.strip()},{_lines()},{ECONOMICS}{sql}"
-
-
-def period(sql: str) -> str:
-    return f"WITH {DIMENSIONS.strip()},{_lines(IN_PERIOD)},{ECONOMICS}{sql}"
+    return f"WITH {DIMENSIONS.strip()},{LINES},{ECONOMICS}{sql}"
 
 
 RAW = """
@@ -108,7 +100,7 @@ cleaned AS (
 
 
 def raw(sql: str) -> str:
-    return f"WITH {DIMENSIONS.strip()},{_lines()},{RAW}{sql}"
+    return f"WITH {DIMENSIONS.strip()},{LINES},{RAW}{sql}"
 
 
 # --- number helpers -------------------------------------------------------------------------------
@@ -276,39 +268,40 @@ def _rules(sales: str, customer: str, product: str) -> list[tuple[str, str]]:
     for table, key, source in (("dim_date", "date_key", DIM_DATE_KEYS), ("dim_product", "product_id", product),
                                ("dim_customer", "customer_id", customer), ("dim_channel", "channel_id", "dim_channel")):
         out.append(_rule("duplicate_key", table, key, "critical", f"count(*) - count(DISTINCT {key})", source,
-                         f" duplicate values in primary key '{key}'."))
+                         f" values of key '{key}' occur again."))
     for c in ("order_id", "customer_id", "product_id", "order_date", "quantity", "unit_price"):
         out.append(_rule("nulls", "fact_sales", c, "critical", f"count(*) FILTER ({c} IS NULL)", sales,
-                         f" null values in '{c}'."))
+                         f" values of '{c}' are missing."))
     for table, c, source in (("dim_customer", "city", customer), ("dim_customer", "region", customer),
                              ("dim_product", "brand", product), ("dim_product", "subcategory", product),
                              ("fact_sales", "discount_amount", sales), ("fact_sales", "shipping_cost", sales)):
         out.append(_rule("nulls", table, c, "warning", f"count(*) FILTER ({c} IS NULL)", source,
-                         f" null values in '{c}'."))
+                         f" values of '{c}' are missing."))
     out.append(_rule("non_positive", "fact_sales", "quantity", "critical", "count(*) FILTER (quantity <= 0)", sales,
-                     " rows with 'quantity' <= 0."))
+                     " values of 'quantity' are zero or less."))
     for c in ("unit_price", "discount_amount", "product_cost", "shipping_cost", "payment_fee", "refund_amount"):
         out.append(_rule("negative", "fact_sales", c, "critical", f"count(*) FILTER ({c} < 0)", sales,
-                         f" rows with negative '{c}'."))
+                         f" values of '{c}' are below zero."))
     for table, c, source, parent in (("fact_sales", "customer_id", sales, customer),
                                      ("fact_sales", "product_id", sales, product),
                                      ("fact_sales", "channel_id", sales, "dim_channel"),
                                      ("fact_marketing", "channel_id", "fact_marketing", "dim_channel")):
         out.append(_rule("foreign_key", table, c, "critical", "count(*)",
                          f"{source} f WHERE f.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{c}=f.{c})",
-                         f" rows in '{table}.{c}' with no match in parent '{c}'.", f"foreign_key[{c}->{c}]"))
+                         f" values of '{table}.{c}' point to no '{c}'.", f"foreign_key[{c}->{c}]"))
     for table, c, source in (("fact_sales", "order_date", sales), ("fact_marketing", "date", "fact_marketing")):
         out.append(_rule("date_range", table, c, "critical",
-                         f"count(*) FILTER ({c} IS NULL OR {c} < DATE '2000-01-01' OR {c} > DATE '2001-06-30')", source,
-                         f" rows with '{c}' outside [2000-01-01, 2001-06-30] or unparseable."))
+                         f"count(*) FILTER ({c} IS NULL OR {c} < (SELECT min(date) FROM dim_date) "
+                         f"OR {c} > (SELECT max(date) FROM dim_date))", source,
+                         f" values of '{c}' are no date of the calendar."))
     out.append(_rule("duplicate_rows", "fact_sales", "", "warning",
                      f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {sales}))", sales,
-                     " fully duplicated rows."))
+                     " rows repeat another row in full."))
     revenue = "(quantity*unit_price - coalesce(discount_amount, 0) + shipping_revenue)"
     out.append(_rule("margin_sanity", "fact_sales", "", "warning",
                      f"count(*) FILTER ({revenue} > 0 AND {revenue} - product_cost - coalesce(shipping_cost, 0)"
                      f" - payment_fee - refund_amount > {revenue})", sales,
-                     " rows with impossible gross margin > 100%."))
+                     " rows earn more than their revenue."))
     return out
 
 
@@ -523,15 +516,15 @@ def _findings_report() -> str:
         *melt("discount_gap", F_DISCOUNT, ["with_discount_pct", "without_discount_pct", "gap_points"],
               ["discounted_margin_is"]),
         *melt("net_shipping", F_SHIPPING, ["net_shipping"], ["outcome"]),
-        *melt("channels", "SELECT * FROM period_channels",
+        *melt("channels", "SELECT * FROM channel_finding",
               ["worst_net_contribution", "worst_cac", "worst_roas", "email_roas", "email_net_contribution",
                "zero_spend_gross_profit"], ["worst_paid_channel"]),
-        *melt("segments", "SELECT * FROM period_segments",
+        *melt("segments", "SELECT * FROM segment_finding",
               ["vip_customers", "vip_share_pct", "vip_monetary", "at_risk_customers", "at_risk_monetary"], []),
     ]
-    in_period = (f"period_channels AS (WITH {DIMENSIONS.strip()},{_lines(IN_PERIOD)},{ECONOMICS}{CHANNEL}{X_CHANNEL} {F_CHANNELS}),\n"
-                 f"period_segments AS (WITH {DIMENSIONS.strip()},{_lines(IN_PERIOD)},{ECONOMICS}{QUINTILE} {F_SEGMENTS})")
-    return whole(f"{MONTHLY}{BY_CATEGORY}{PRODUCTS}{LINE_MARGIN},\n{in_period}\n" + "\nUNION ALL ".join(rows))
+    nested = (f"channel_finding AS (WITH {DIMENSIONS.strip()},{LINES},{ECONOMICS}{CHANNEL}{X_CHANNEL} {F_CHANNELS}),\n"
+                 f"segment_finding AS (WITH {DIMENSIONS.strip()},{LINES},{ECONOMICS}{QUINTILE} {F_SEGMENTS})")
+    return whole(f"{MONTHLY}{BY_CATEGORY}{PRODUCTS}{LINE_MARGIN},\n{nested}\n" + "\nUNION ALL ".join(rows))
 
 
 # --- all queries ----------------------------------------------------------------------------------
@@ -639,75 +632,75 @@ SELECT * FROM used UNION ALL SELECT * FROM {CHANNELS} WHERE channel_id NOT IN (S
     q["quality_checks"] = _quality_checks()
 
     # Channels and campaigns.
-    q["channel_performance"] = period(f"""{CHANNEL}
+    q["channel_performance"] = whole(f"""{CHANNEL}
 SELECT channel_id, channel_name, channel_type, coalesce(orders, 0) AS orders, {money('coalesce(rev, 0)')} AS revenue,
   {money('coalesce(gp, 0)')} AS gross_profit, {pct2('gp', 'rev')} AS gross_margin_pct,
   {money('coalesce(spend, 0)')} AS marketing_spend, coalesce(new_customers, 0) AS new_customers,
   coalesce(conversions, 0) AS conversions, {exact('spend', 'new_customers', 1)} AS cac,
   {exact('rev', 'spend', 100)} AS roas, {money('(coalesce(gp, 0)-coalesce(spend, 0))')} AS net_marketing_contribution,
   {pct2('(coalesce(gp, 0)-coalesce(spend, 0))', 'rev')} AS margin_after_mkt_pct FROM ch""")
-    q["channel_performance_py"] = period(f"""{CHANNEL}{X_CHANNEL}
+    q["channel_performance_py"] = whole(f"""{CHANNEL}{X_CHANNEL}
 SELECT channel_id, channel_name, channel_type, orders, {money('rev')} AS revenue, {money('gp')} AS gross_profit,
   {money('sp')} AS spend, coalesce(conversions, 0) AS conversions, nc AS new_customers,
   {pct('gp', 'rev')} AS gross_margin_pct, CASE WHEN nc > 0 THEN {quotient('sp', 'nc*100')} END AS cac,
   CASE WHEN sp > 0 THEN {quotient('rev', 'sp')} END AS roas, {money('net')} AS net_marketing_contribution FROM x""")
     funnel = ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("impressions", "clicks", "conversions"))
     cost = exact("sum(marketing_spend)", "sum(conversions)", 1)
-    q["campaign_performance"] = period(f"""
+    q["campaign_performance"] = whole(f"""
 SELECT channel_name, campaign_name, {money('sum(marketing_spend)')} AS spend, {funnel},
   {pct2('sum(clicks)', 'sum(impressions)')} AS ctr_pct, {pct2('sum(conversions)', 'sum(clicks)')} AS cvr_pct,
   {cost} AS cost_per_conversion {_CAMPAIGN}""")
-    q["page_marketing_campaign"] = period(f"""
+    q["page_marketing_campaign"] = whole(f"""
 SELECT channel_name, campaign_name, {money('sum(marketing_spend)')} AS spend, {funnel},
   {cost} AS cost_per_conversion {_CAMPAIGN}""")
-    q["new_customers_by_channel"] = period(f"""{CHANNEL}
+    q["new_customers_by_channel"] = whole(f"""{CHANNEL}
 SELECT channel_id, channel_name, new_customers FROM new_c JOIN dim_channel USING (channel_id)""")
-    q["spend_by_channel"] = period(f"{CHANNEL}\nSELECT channel_id, {money('spend')} AS spend, conversions FROM spend_c")
+    q["spend_by_channel"] = whole(f"{CHANNEL}\nSELECT channel_id, {money('spend')} AS spend, conversions FROM spend_c")
 
     # Customers.
-    q["rfm_base"] = period(f"""{RFM}
+    q["rfm_base"] = whole(f"""{RFM}
 SELECT customer_id, last_order_date, frequency, {money('monetary')} AS monetary, recency_days FROM rfm""")
-    q["rfm_quintile"] = period(f"{QUINTILE}\nSELECT customer_id, r_score, f_score, m_score FROM q")
-    q["rfm_ntile"] = period(f"{NTILE}\nSELECT customer_id, r_score, f_score, m_score FROM q")
-    q["rfm_scores_quintile"] = period(f"""{QUINTILE}
+    q["rfm_quintile"] = whole(f"{QUINTILE}\nSELECT customer_id, r_score, f_score, m_score FROM q")
+    q["rfm_ntile"] = whole(f"{NTILE}\nSELECT customer_id, r_score, f_score, m_score FROM q")
+    q["rfm_scores_quintile"] = whole(f"""{QUINTILE}
 SELECT customer_id, last_order_date, frequency, {money('monetary')} AS monetary, recency_days, r_score, f_score, m_score,
   CAST(r_score*100 + f_score*10 + m_score AS INTEGER) AS rfm_score, rfm_cell FROM q""")
-    q["rfm_all_customers"] = q["rfm_export"] = period(f"""{QUINTILE}
+    q["rfm_all_customers"] = q["rfm_export"] = whole(f"""{QUINTILE}
 SELECT * REPLACE ({money('monetary')} AS monetary) FROM everyone""")
-    q["rfm_scores_ntile"] = period(f"""{NTILE}
+    q["rfm_scores_ntile"] = whole(f"""{NTILE}
 SELECT customer_id, customer_segment, region, recency_days, frequency, {money('monetary')} AS monetary,
   r_score, f_score, m_score,
   CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR) AS rfm_cell, rfm_segment
 FROM q JOIN dim_customer USING (customer_id)""")
-    q["customers_at_risk"] = period(f"""{NTILE}
+    q["customers_at_risk"] = whole(f"""{NTILE}
 SELECT customer_id, customer_segment, region, recency_days, frequency, {money('monetary')} AS monetary,
   r_score, f_score, m_score FROM q JOIN dim_customer USING (customer_id)
 WHERE r_score <= 2 AND (f_score >= 3 OR m_score >= 4)""")
     share = exact("count(*)", "sum(count(*)) OVER ()", 10000)
-    q["rfm_segment_summary"] = period(f"""{NTILE}
+    q["rfm_segment_summary"] = whole(f"""{NTILE}
 SELECT rfm_segment, count(*) AS customers, {exact('sum(recency_days)', 'count(*)', 10, 1)} AS avg_recency_days,
   {exact('sum(frequency)', 'count(*)', 100)} AS avg_frequency, {money('sum(monetary)')} AS total_monetary,
   {exact('sum(monetary)', 'count(*)', 1)} AS avg_monetary, {share} AS pct_of_customers FROM q GROUP BY rfm_segment""")
-    q["segment_share"] = period(f"""{NTILE}
+    q["segment_share"] = whole(f"""{NTILE}
 SELECT rfm_segment, count(*) AS customers, {share} AS pct_of_customers FROM q GROUP BY rfm_segment""")
-    q["rfm_segment_summary_all"] = period(f"""{QUINTILE}
+    q["rfm_segment_summary_all"] = whole(f"""{QUINTILE}
 SELECT segment, count(*) AS customers, {money('sum(monetary)')} AS total_monetary,
   {quotient('sum(recency_days)', 'count(*)')} AS avg_recency FROM everyone GROUP BY segment""")
-    q["rfm_distribution"] = period(f"""{QUINTILE}
+    q["rfm_distribution"] = whole(f"""{QUINTILE}
 SELECT segment, count(*) AS customers, {quotient('sum(recency_days)', 'count(*)')} AS avg_recency,
   {quotient('sum(frequency)', 'count(*)')} AS avg_frequency, {money('sum(monetary)')} AS total_monetary,
   {quotient('sum(monetary)', 'count(*)*100')} AS avg_monetary, {pct('count(*)', 'sum(count(*)) OVER ()')} AS pct_customers,
   {pct('sum(monetary)', 'sum(sum(monetary)) OVER ()')} AS pct_value FROM everyone GROUP BY segment""")
     bounds = [("recency_days", "r_score", "CAST(recency_days AS DOUBLE)"),
               ("frequency", "f_score", "CAST(frequency AS DOUBLE)"), ("monetary", "m_score", money("monetary"))]
-    q["rfm_score_bounds"] = period(f"{QUINTILE}\n" + " UNION ALL ".join(
+    q["rfm_score_bounds"] = whole(f"{QUINTILE}\n" + " UNION ALL ".join(
         f"SELECT '{m}' AS metric, {sc} AS score, min({v}) AS min_value, max({v}) AS max_value FROM q GROUP BY {sc}"
         for m, sc, v in bounds))
 
     # Measures.
-    q["measures_overall"] = period(measures())
-    q["measures_by_month"] = period(measures(**BY_MONTH))
-    q["measures_by_channel"] = period(measures(
+    q["measures_overall"] = whole(measures())
+    q["measures_by_month"] = whole(measures(**BY_MONTH))
+    q["measures_by_channel"] = whole(measures(
         by="channel_name", line_key="channel_name", lines=CHANNEL_LINES, spend_key="channel_name",
         new_key="acquisition_channel"))
     by_category = dict(by="category", line_key="category", lines=PRODUCT_LINES, spend_key=None, new_key=None)
@@ -717,23 +710,46 @@ SELECT segment, count(*) AS customers, {quotient('sum(recency_days)', 'count(*)'
         lines="(SELECT s.*, brand FROM s JOIN dim_product p USING (product_id) JOIN dim_customer c USING (customer_id) "
               "WHERE p.category IN ('PROMO','SMALL') AND c.region IN ('ASIA','EUROPE') AND p.active_flag=1) z",
         names=["revenue", "gross_profit", "gross_margin", "orders", "units_sold"]))
-    q["repeat_purchase_rate"] = period(f""",
+    q["repeat_purchase_rate"] = whole(f""",
 o AS (SELECT acquisition_channel, customer_segment, customer_id, count(DISTINCT order_id) AS n FROM s
   JOIN dim_customer USING (customer_id) GROUP BY ALL)
 SELECT acquisition_channel, customer_segment, count(*) AS customers_with_orders,
   count(*) FILTER (n >= 2) AS repeat_customers, {quotient('count(*) FILTER (n >= 2)', 'count(*)')} AS repeat_purchase_rate
 FROM o GROUP BY 1, 2""")
-    q["new_customers_by_month"] = period("""
+    q["new_customers_by_month"] = whole("""
 SELECT strftime(acquisition_date, '%Y-%m') AS year_month, count(DISTINCT customer_id) AS new_customers FROM dim_customer
 JOIN dim_date ON acquisition_date=date GROUP BY 1""")
 
     # Pages.
-    q["page_overview_kpis"] = period(measures(names=[
+    q["page_overview_kpis"] = whole(measures(names=[
         "revenue", "gross_profit", "gross_margin", "orders", "average_order_value", "marketing_spend", "roas"]))
     q["page_overview_monthly"] = whole(f"""{growth}
 SELECT ym AS year_month, {money('rev')} AS revenue, {quotient(money('gp'), money('rev'))} AS gross_margin,
   {quotient('rev-prev', 'prev')} AS revenue_growth, {quotient('gp-pgp', 'pgp')} AS gross_profit_growth FROM g""")
     q["page_overview_category"] = whole(measures(**by_category, names=["gross_profit"]))
+    days = "BETWEEN DATE '1996-07-01' AND DATE '1999-06-30'"
+    q["measures_in_date_range"] = whole(
+        measures(**BY_MONTH, lines=f"(SELECT * FROM s WHERE order_date {days}) z")
+        .replace("FROM fact_marketing JOIN", f"FROM (SELECT * FROM fact_marketing WHERE date {days}) fm JOIN")
+        .replace("FROM dim_customer JOIN", f"FROM (SELECT * FROM dim_customer WHERE acquisition_date {days}) dc JOIN"))
+    q["measures_by_segment"] = whole(QUINTILE + measures(
+        by="segment", line_key="segment", lines="(SELECT s.*, segment FROM s JOIN everyone USING (customer_id)) z",
+        spend_key=None, new_key=None,
+        names=["revenue", "gross_profit", "orders", "customers_with_orders", "repeat_purchase_rate"]))
+    q["growth_by_category"] = whole(f""",
+m AS (SELECT category, ym, sum(rev) AS rev, sum(gp) AS gp FROM s JOIN dim_product USING (product_id) GROUP BY ALL)
+SELECT a.category, a.ym AS year_month, {money('a.rev')} AS revenue, {money('b.rev')} AS revenue_pm,
+  {quotient('(a.rev-b.rev)', 'b.rev')} AS revenue_growth, {money('a.gp')} AS gross_profit,
+  {money('b.gp')} AS gross_profit_pm, {quotient('(a.gp-b.gp)', 'b.gp')} AS gross_profit_growth
+FROM m a LEFT JOIN m b ON a.category=b.category
+  AND strftime(CAST(a.ym || '-01' AS DATE) - INTERVAL 1 MONTH, '%Y-%m') = b.ym""")
+    some = PRODUCTS.replace("FROM s JOIN dim_product USING (product_id)", """FROM s JOIN dim_product USING (product_id)
+  WHERE category IN ('PROMO', 'SMALL') AND order_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""")
+    q["page_product_table_sliced"] = whole(f"""{some}
+SELECT product_id, product_name, category, CAST(units AS BIGINT) AS units_sold, {money('rev')} AS revenue,
+  {money('gp')} AS gross_profit, {pct('gp', 'rev')} AS gross_margin_pct,
+  {quotient('units_all', 'n')} AS average_units, {quotient('margin_all', 'nm*1000000')} AS average_margin_pct
+FROM scored, stats""")
     q["page_product_table"] = whole(f"""{PRODUCTS}
 SELECT product_id, product_name, category, CAST(units AS BIGINT) AS units_sold, {money('rev')} AS revenue,
   {money('gp')} AS gross_profit, {pct('gp', 'rev')} AS gross_margin_pct,
@@ -741,23 +757,23 @@ SELECT product_id, product_name, category, CAST(units AS BIGINT) AS units_sold,
 FROM scored, stats""")
     q["page_product_top10"] = whole(f"""{PRODUCTS}
 SELECT product_name, category, {money('gp')} AS gross_profit FROM p ORDER BY gp DESC, product_id LIMIT 10""")
-    q["page_marketing_kpis"] = period(measures(names=[
+    q["page_marketing_kpis"] = whole(measures(names=[
         "marketing_spend", "revenue", "roas", "cac", "net_marketing_contribution", "conversions"]))
-    q["page_marketing_channel"] = period(measures(
+    q["page_marketing_channel"] = whole(measures(
         by="channel_name", line_key="channel_name", lines=CHANNEL_LINES, spend_key="channel_name",
         new_key="acquisition_channel",
         names=["net_marketing_contribution", "marketing_spend", "roas", "cac", "new_customers"]))
-    q["page_customer_kpis"] = period(measures(names=[
+    q["page_customer_kpis"] = whole(measures(names=[
         "customers_with_orders", "repeat_purchase_rate", "revenue_per_customer", "clv_approx"]))
     vip = "sum(CASE WHEN segment='VIP' THEN {} END)"
-    q["page_customer_segments"] = period(f"""{QUINTILE},
+    q["page_customer_segments"] = whole(f"""{QUINTILE},
 t AS (SELECT count(*) FILTER (segment='VIP') AS v, coalesce({vip.format('monetary')}, 0) AS vm, sum(monetary) AS am
   FROM everyone)
 SELECT segment, count(*) AS customers, {money('sum(monetary)')} AS monetary, v AS vip_customers,
   {pct2('vm', 'am')} AS vip_value_pct FROM everyone, t GROUP BY segment, v, vm, am""")
-    q["page_customer_scatter"] = period(f"""{QUINTILE}
+    q["page_customer_scatter"] = whole(f"""{QUINTILE}
 SELECT customer_id, recency_days, frequency, {money('monetary')} AS monetary, segment FROM q""")
-    q["page_customer_at_risk"] = period(f"""{QUINTILE}
+    q["page_customer_at_risk"] = whole(f"""{QUINTILE}
 SELECT customer_id, customer_segment, region, recency_days, frequency, {money('monetary')} AS monetary FROM everyone
 WHERE segment='Clientes en riesgo'""")
     q["page_ops_returns"] = whole(measures(**by_category, names=["return_rate", "refund_amount"]))
@@ -814,10 +830,10 @@ FROM (SELECT {revenue} AS a FROM raw_sales), (SELECT {revenue} AS b FROM cleaned
     q["finding_loss_categories"] = whole(f"{BY_CATEGORY}\n{F_LOSS}")
     q["finding_peak_and_drop"] = whole(f"{MONTHLY}\n{F_PEAK}")
     q["finding_concentration"] = whole(f"{PRODUCTS}\n{F_CONCENTRATION}")
-    q["finding_channels"] = period(f"{CHANNEL}{X_CHANNEL}\n{F_CHANNELS}")
+    q["finding_channels"] = whole(f"{CHANNEL}{X_CHANNEL}\n{F_CHANNELS}")
     q["finding_worst_return_category"] = whole(f"\n{F_RETURNS}")
     q["finding_discount_gap"] = whole(f"{LINE_MARGIN}\n{F_DISCOUNT}")
     q["finding_net_shipping"] = whole(f"\n{F_SHIPPING}")
-    q["finding_segments"] = period(f"{QUINTILE}\n{F_SEGMENTS}")
+    q["finding_segments"] = whole(f"{QUINTILE}\n{F_SEGMENTS}")
     q["findings_report"] = _findings_report()
     return q

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import date
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from stars import by, line, star
+from stars import by, line, star, two_lines
 from test_quality import dirty
 from tillsight.operators import quality
-from tillsight.plans import jobs
+from tillsight.plans import jobs, registry as contract
 from tillsight.sources.calendar import calendar_spine, period_bounds, period_calendar, period_days
 from tillsight.sources.star import COLUMNS, NULL_TOKENS, open_parquet_star, read_star, write_star
-from tillsight.sources.tables import PERIOD, open_star
+from tillsight.sources.tables import open_star
+
+PERIOD = (date(2000, 1, 1), 18)
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -38,6 +43,28 @@ def test_null_tokens_and_bad_values(spark, tmp_path):
     assert read_star(spark, str(folder), raw=True).dim_channel.filter("channel_id = 'bad'").count() == 1
 
 
+def write_csv(folder, **texts: str) -> str:
+    folder.mkdir()
+    for name, columns in COLUMNS.items():
+        (folder / f"{name}.csv").write_text(texts.get(name, ",".join(columns) + "\n"))
+    return str(folder)
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    path = write_csv(tmp_path / "raw", dim_channel="channel_name,extra,channel_id,channel_type\nEmail,x,4,Owned\n")
+    assert [tuple(r) for r in read_star(spark, path).dim_channel.collect()] == [(4, "Email", "Owned")]
+    path = write_csv(tmp_path / "less", dim_channel="channel_id,channel_type\n4,Owned\n")
+    with pytest.raises(ValueError, match="channel_name"):
+        read_star(spark, path).dim_channel
+
+
+def test_csv_line_breaks_in_quotes(spark, tmp_path):
+    path = write_csv(tmp_path / "raw", dim_channel='channel_id,channel_name,channel_type\n4,"E\nmail",Owned\n5,Direct,Direct\n')
+    assert sorted(tuple(r) for r in read_star(spark, path, multiLine=True).dim_channel.collect()) == [(4, "E\nmail", "Owned"), (5, "Direct", "Direct")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_star(spark, path).dim_channel.collect()
+
+
 def test_cleaning_job_writes_only_what_passes(spark, tmp_path):
     period = (period_days(*PERIOD)[0].replace(year=2024), 18)
     raw = dirty(spark).with_tables(dim_date=lambda: period_calendar(spark, *period))
@@ -47,6 +74,10 @@ def test_cleaning_job_writes_only_what_passes(spark, tmp_path):
     with pytest.raises(quality.BlockedByValidation, match="foreign_key.channel_id"):
         jobs.clean_raw_files(spark, str(tmp_path / "raw"), str(tmp_path / "out"), period)
     assert not (tmp_path / "out").exists()
+    write_star(two_lines(spark), str(tmp_path / "out"))
+    with pytest.raises(quality.BlockedByValidation):
+        jobs.clean_raw_files(spark, str(tmp_path / "raw"), str(tmp_path / "out"), period)
+    assert open_parquet_star(spark, str(tmp_path / "out")).fact_sales.count() == 2  # the old output is whole
 
     write_star(raw, str(tmp_path / "good"), "csv")
     result = jobs.clean_raw_files(spark, str(tmp_path / "good"), str(tmp_path / "out"), period)
@@ -68,22 +99,29 @@ def test_report_queries(spark, folder, tmp_path):
 
 
 def test_segment_export(spark, folder, tmp_path):
-    rows = jobs.export_segments(open_star(spark, folder, PERIOD), str(tmp_path / "rfm"))
+    rows = jobs.export_segments(open_star(spark, folder), str(tmp_path / "rfm"))
     assert rows == 150 and spark.read.parquet(str(tmp_path / "rfm")).count() == 150
 
 
 def test_load_and_verify(spark, folder, tmp_path):
-    loaded, checks = jobs.load_and_verify(open_star(spark, folder, PERIOD), str(tmp_path / "db"))
+    loaded, checks = jobs.load_and_verify(open_star(spark, folder), str(tmp_path / "db"))
     assert checks.filter("NOT passed").count() == 0 and checks.count() == 19
     months = (tmp_path / "db" / "fact_sales").glob("year_month=*")
-    assert len(list(months)) == 18
+    assert len(list(months)) == 80
 
 
 def test_calendar(spark):
-    rows = period_calendar(spark).orderBy("date").collect()
+    rows = period_calendar(spark, *PERIOD).orderBy("date").collect()
     assert len(rows) == 547 and rows[0].date_key == 20000101 and rows[0].day_of_week == "Saturday"
     assert rows[0].week == 52 and rows[-1].month_name == "June"  # ISO week of 1 January 2000
     first, last = period_bounds(*PERIOD)
     assert tuple(spark.range(1).select(first, last).first()) == period_days(*PERIOD)
     one = spark.sql("SELECT DATE'2024-02-28' AS first, DATE'2024-03-01' AS last")
     assert calendar_spine(one).agg(F.count("*")).first()[0] == 3
+
+
+def test_nothing_is_left_but_the_target(spark, folder, tmp_path):
+    for _ in range(2):
+        contract.named_queries()["load_star_counts"](spark, folder).collect()
+    target = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert sorted(p.name for p in target.glob("star-*")) in (["star-counted"], ["star-counted", "star-loaded"])

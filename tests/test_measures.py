@@ -7,7 +7,9 @@ import pytest
 from stars import by, line, star, two_lines
 from tillsight.operators.measures import MEASURES, measures
 from tillsight.plans import pages
-from tillsight.sources.tables import PERIOD, open_star
+from tillsight.operators import rfm
+from tillsight.sources.star import Between
+from tillsight.sources.tables import open_star
 
 
 def test_overall(spark):
@@ -53,12 +55,12 @@ def test_repeat_customers_are_judged_within_the_group(spark):
 
 
 def test_months_add_up_to_the_whole(spark, folder):
-    table = open_star(spark, folder, PERIOD)
+    table = open_star(spark, folder)
     names = ["revenue", "gross_profit", "orders", "marketing_spend", "new_customers", "conversions"]
     whole = measures(table, [], names).first()
     months = measures(table, ["month_start"], names).collect()
     for name in names:
-        assert sum(r[name] for r in months) == pytest.approx(whole[name])
+        assert sum(r[name] or 0 for r in months) == pytest.approx(whole[name])
 
 
 def test_pages_agree_with_measures(spark, folder):
@@ -67,3 +69,42 @@ def test_pages_agree_with_measures(spark, folder):
     counted = {r.category: r.gross_profit for r in measures(table, ["category"], ["gross_profit"]).collect()}
     assert shown == counted
     assert pages.product_top10(table).count() == 10
+
+
+def test_time_slicers_and_ranges(spark):
+    table = two_lines(spark)
+    names = ["revenue", "marketing_spend"]
+    assert tuple(measures(table, [], names, {"month": [1]}).first()) == (22.0, 50.0)
+    assert tuple(measures(table, [], names, {"quarter": [2]}).first()) == (None, None)
+    assert tuple(measures(table, [], names, {"date": Between("2024-01-10", "2024-02-10")}).first()) == (122.0, None)
+    assert measures(table, [], ["revenue"], {"date": Between(None, "2024-02-09")}).first().revenue == 22.0
+
+
+def test_segments_as_dimension_and_slicer(spark, folder):
+    table = rfm.with_segments(open_star(spark, folder))
+    parts = {r.segment: r.revenue for r in measures(table, ["segment"], ["revenue"]).collect()}
+    assert sum(parts.values()) == pytest.approx(measures(table, [], ["revenue"]).first().revenue)
+    assert measures(table, [], ["revenue"], {"segment": [rfm.VIP]}).first().revenue == pytest.approx(parts[rfm.VIP])
+    with pytest.raises(ValueError, match="with_segments"):
+        measures(two_lines(spark), ["segment"], ["revenue"])
+
+
+def test_every_page_takes_slicers(spark, folder):
+    table = open_star(spark, folder)
+    category = {"category": ["PROMO"]}
+    assert {r.category for r in pages.product_table(table, category).collect()} == {"PROMO"}
+    assert {r.category for r in pages.product_top10(table, category).collect()} == {"PROMO"}
+    assert {r.category for r in pages.ops_alerts(table, category).collect()} == {"PROMO"}
+    assert {r.region for r in pages.ops_shipping(table, {"region": ["ASIA"]}).collect()} == {"ASIA"}
+    assert {r.channel_name for r in pages.marketing_campaign(table, {"channel_name": ["Email"]}).collect()} == {"Email"}
+    assert pages.overview_monthly(table, {"date": Between("1996-01-01", "1996-03-31")}).count() == 3
+    assert {r.segment for r in pages.customer_scatter(table, {"segment": [rfm.VIP]}).collect()} == {rfm.VIP}
+    assert pages.overview_kpis(table, category).first().revenue == pytest.approx(
+        sum(r.revenue for r in pages.overview_monthly(table, category).collect()))
+    with pytest.raises(ValueError):
+        pages.customer_segments(table, {"brand": ["x"]})
+
+
+def test_pages_agree_on_the_whole(spark, folder):
+    table = open_star(spark, folder)
+    assert pages.overview_kpis(table).first().revenue == pytest.approx(sum(r.revenue for r in pages.overview_monthly(table).collect()))

@@ -9,8 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+import oracle
+from tillsight.plans.registry import named_queries
 
-SQL = contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,8 @@ def table(columns, rows) -> list[tuple]:
 
 
 def test_every_query_has_reference_sql():
-    assert set(contract.queries()) == set(SQL)
+    assert set(named_queries()) == set(SQL)
+    assert set(SQL) <= set(contract.queries()) and SQL.items() <= contract.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", list(SQL))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tillsight.operators import cleaning, marketing, measures, rfm, sales
 from tillsight.plans.registry import named_queries
-from tillsight.sources.tables import PERIOD, open_raw_star, open_star
+from tillsight.sources.star import Between
+from tillsight.sources.tables import open_raw_star, open_star
 
 
 def plan(rows) -> str:
@@ -51,7 +52,7 @@ def test_no_cross_join(spark, folder, name):
 
 @pytest.mark.parametrize("operator", [rfm.rfm_scores_quintile, rfm.rfm_scores_ntile, rfm.rfm_all_customers])
 def test_scoring_has_no_window_over_customers(spark, folder, operator):
-    text = plan(operator(open_star(spark, folder, PERIOD)))
+    text = plan(operator(open_star(spark, folder)))
     assert "Window" not in text
     for block in re.findall(r"Exchange SinglePartition.*\n(.*)", text):
         assert "partial_" in block, block  # only partial aggregates meet in one task
@@ -65,9 +66,10 @@ def test_scans_read_only_needed_columns(spark, folder):
     assert "orders.parquet" not in text  # no column of the orders is asked for
 
 
-def test_period_reaches_the_scan(spark, folder):
-    text = plan(rfm._customers(open_star(spark, folder, PERIOD)))
-    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(o_orderdate,2000-01-01", text)
+def test_order_dates_are_never_cut_unless_asked(spark, folder):
+    whole = open_star(spark, folder)
+    assert "PushedFilters: [IsNotNull(o_orderdate)" not in plan(rfm._customers(whole))
+    assert "o_orderdate" in plan(measures.measures(whole, [], ["orders"], {"date": Between("1996-01-01")}))
 
 
 def test_each_answer_scans_the_lines_once(spark, folder):
@@ -75,7 +77,9 @@ def test_each_answer_scans_the_lines_once(spark, folder):
     assert line_scans(sales.high_volume_low_margin(whole)) == 1
     assert line_scans(sales.top10_margin_contribution(whole)) == 1
     assert line_scans(cleaning.clean_lines(open_raw_star(spark, folder))) == 1
-    assert line_scans(marketing.channel_performance(open_star(spark, folder, PERIOD))) == 1
+    assert line_scans(marketing.channel_performance(whole)) == 1
+    assert line_scans(measures.measures_by_channel(whole)) == 1
+    assert line_scans(cleaning.reconcile_cleaning(open_raw_star(spark, folder))) == 1
 
 
 def test_category_answer_needs_no_shuffle_by_order_after_the_order_join(spark, folder):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stars import by, line, star
 from tillsight.operators import rfm
-from tillsight.sources.tables import PERIOD, open_star
+from tillsight.sources.tables import open_star
 
 
 @pytest.mark.parametrize("r, f, m, segment", [
@@ -66,7 +66,7 @@ def test_non_buyers_get_the_lowest_scores(spark):
 
 
 def test_segments_cover_everyone_and_all_value(spark, folder):
-    table = open_star(spark, folder, PERIOD)
+    table = open_star(spark, folder)
     summary = rfm.rfm_segment_summary_all(table).collect()
     assert sum(r.customers for r in summary) == table.dim_customer.count()
     net = table.sales("monetary").agg(F.sum("monetary")).first()[0] / 100

@@ -33,6 +33,9 @@ DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
     "month_start": (("order_date",), "trunc(order_date, 'MM')"),
     "year_month": (("order_date",), "date_format(order_date, 'yyyy-MM')"),
     "year": (("order_date",), "year(order_date)"),
+    "quarter": (("order_date",), "quarter(order_date)"),
+    "month": (("order_date",), "month(order_date)"),
+    "date": (("order_date",), "order_date"),
     "discount_level": (("quantity", "unit_price", "discount_amount"), DISCOUNT_LEVEL),
 }
 

@@ -11,6 +11,7 @@ from tillsight.functions.ranking import exact_median
 from tillsight.operators.quality import run_rules, standard_rules, summarize
 from tillsight.sources.star import TABLES, Star
 
+# The columns to clean and the text for what is unknown.
 TEXT_COLUMNS = {
     "dim_customer": ("customer_segment", "city", "region", "acquisition_channel"),
     "dim_product": ("product_name", "category", "subcategory", "brand", "supplier"),
@@ -134,6 +135,21 @@ def reconcile_revenue(raw: Star, clean: Star) -> DataFrame:
         money("before - revenue").alias("difference"))
 
 
+def reconcile_cleaning(raw: Star) -> DataFrame:
+    """:func:`reconcile_revenue` of a star with its cleaned self, from one pass over the grouped lines.
+
+    Cleaning changes revenue only by dropping copies: a missing discount counts
+    as 0 on both sides.
+    """
+    columns = raw.fact_sales.columns
+    lines = raw.fact_sales.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    revenue = (F.col("quantity") * F.col("unit_price") - F.coalesce("discount_amount", F.lit(0))
+               + F.col("shipping_revenue")).cast("decimal(38,0)")
+    return lines.agg(F.sum(revenue * F.col("copies")).alias("before"), F.sum(revenue).alias("revenue")).select(
+        money("before").alias("raw_revenue"), money("revenue").alias("processed_revenue"),
+        money("before - revenue").alias("difference"))
+
+
 def cleaning_log(raw: Star) -> DataFrame:
     """Rows in and out, copies removed, nulls filled and text stripped, as (metric, item, value).
 

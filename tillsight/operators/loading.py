@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,9 +15,9 @@ from tillsight.sources.tables import channel_rows
 def load_star(star: Star, folder: str | None = None) -> Star:
     """Rebuild the six tables under ``folder`` (overwriting) and open them.
 
-    Without a folder, a new one in the cluster's shared checkpoint folder.
+    Without a folder, a fixed one in the cluster's shared checkpoint folder.
     """
-    folder = folder or f"{shared_folder(star.spark)}/star-{uuid4().hex}"
+    folder = folder or f"{shared_folder(star.spark)}/star-loaded"
     write_star(star, folder)
     return open_parquet_star(star.spark, folder)
 
@@ -34,7 +33,7 @@ def table_counts(star: Star) -> DataFrame:
 
 def load_star_counts(star: Star) -> DataFrame:
     """Load the star, then count what the tables hold."""
-    return table_counts(load_star(star))
+    return table_counts(load_star(star, f"{shared_folder(star.spark)}/star-counted"))
 
 
 def seed_rows(existing: DataFrame, seed: DataFrame, key: str) -> DataFrame:

@@ -7,15 +7,17 @@ fact does not have the dimension (marketing by product, say) is null.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.economics import year_month
 from tillsight.functions.money import money, ratio, wide_sum
-from tillsight.operators.sales import order_totals
-from tillsight.sources.star import Star
+from tillsight.operators.rfm import with_segments
+from tillsight.operators.sales import calendar_growth, order_totals
+from tillsight.sources.star import Between, Slicers, Star, slicer_test
 
 SALES_SUMS = ("revenue", "product_cost", "shipping_cost", "payment_fee", "refund_amount", "quantity",
               "discount_amount", "list_amount")
@@ -24,7 +26,7 @@ MARKETING = ("marketing_spend", "conversions")
 ACQUISITION = ("new_customers",)
 
 # Dimensions the smaller facts know; sales know every column of the star.
-TIME = ("year", "year_month", "month_start")
+TIME = ("year", "quarter", "month", "year_month", "month_start", "date")
 CHANNEL = ("channel_name", "channel_type")
 MARKETING_DIMENSIONS = (*TIME, *CHANNEL, "campaign_name")
 ACQUISITION_DIMENSIONS = (*TIME, *CHANNEL, "customer_segment", "city", "region", "acquisition_channel")
@@ -77,16 +79,21 @@ _measure("cost_per_conversion", ("marketing_spend", "conversions"), lambda: _mon
 
 
 def measures(star: Star, by: Iterable[str] = (), names: Iterable[str] | None = None,
-             slicers: Mapping[str, Iterable] | None = None) -> DataFrame:
-    """``names`` (all by default) by the dimensions ``by``, over rows whose columns hold the slicers' values."""
-    by, names, slicers = list(by), list(names or MEASURES), dict(slicers or {})
+             slicers: Slicers | None = None) -> DataFrame:
+    """``names`` (all by default) by the dimensions ``by``, over rows that the slicers let through.
+
+    Customers of a group come from the same reduction to orders as the sums. Where
+    they are asked for, an order is taken to have one customer.
+    """
+    star = star.sliced(slicers)
+    by, names, slicers = list(by), list(names or MEASURES), star.slicers
     inputs = {c for n in names for c in MEASURES[n][0]}
     parts = []
     sums = [c for c in SALES_SUMS if c in inputs]
-    if sums or inputs & {"orders", "returned_orders"}:
-        parts.append(order_totals(star, by, sums, where=_slice(slicers), where_columns=tuple(slicers)))
     if inputs & set(BUYERS):
-        parts.append(buyers(star, by, slicers))
+        parts.append(customer_totals(star, by, sums))
+    elif sums or inputs & {"orders", "returned_orders"}:
+        parts.append(order_totals(star, by, sums))
     used = {*by, *slicers}
     if inputs & set(MARKETING) and used <= set(MARKETING_DIMENSIONS):
         parts.append(_sliced(_marketing_rows(star), slicers).groupBy(*by).agg(
@@ -94,9 +101,37 @@ def measures(star: Star, by: Iterable[str] = (), names: Iterable[str] | None = N
     if inputs & set(ACQUISITION) and used <= set(ACQUISITION_DIMENSIONS):
         parts.append(_sliced(_acquired_rows(star), slicers).groupBy(*by).agg(
             F.count(F.lit(1)).alias("new_customers")))
+    if not parts:  # marketing or acquisition alone, by what they do not know
+        parts.append(order_totals(star, by, []))
     return _side_by_side(parts, by, sorted(inputs)).select(*by, *[MEASURES[n][1]().alias(n) for n in names])
 
 
+def customer_totals(star: Star, by: list[str], sums: list[str]) -> DataFrame:
+    """:func:`order_totals` with the customers who ordered, and ordered twice or more, within the group.
+
+    Lines go to one row per group, customer and order, then per customer, then per
+    group: one pass over lines and orders for sums, orders and customers.
+    """
+    lines = star.sales(*dict.fromkeys([*by, "customer_id", "order_id", "returned_flag", *sums]))
+    per_order = lines.groupBy(*by, "customer_id", "order_id").agg(
+        F.max(F.when(F.col("order_id").isNotNull(), F.col("returned_flag"))).alias("returned"),
+        *[F.sum(c).alias(c) for c in sums])
+    per_customer = per_order.groupBy(*by, "customer_id").agg(
+        F.count("order_id").alias("orders"), F.count_if(F.col("returned") == 1).alias("returned_orders"),
+        *[wide_sum(c).alias(c) for c in sums])
+    known = F.col("customer_id").isNotNull()
+    return per_customer.groupBy(*by).agg(
+        F.sum("orders").alias("orders"), F.sum("returned_orders").alias("returned_orders"),
+        F.count_if(known).alias("customers_with_orders"),
+        F.count_if(known & (F.col("orders") >= 2)).alias("repeat_customers"),
+        *[F.sum(c).alias(c) for c in sums])
+
+
+def growth(star: Star, by: Iterable[str] = (), slicers: Slicers | None = None) -> DataFrame:
+    """Revenue and profit per month against the previous calendar month, within each group of ``by``."""
+    return calendar_growth(star.sliced(slicers), list(by))
+
+
 def _side_by_side(parts: list[DataFrame], by: list[str], inputs: list[str]) -> DataFrame:
     """Aggregates of several facts on shared dimensions. Each has at most one row per group, so max picks it."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -106,30 +141,21 @@ def _side_by_side(parts: list[DataFrame], by: list[str], inputs: list[str]) -> D
     return grouped.select("*", *absent)
 
 
-def _slice(slicers: Mapping[str, Iterable]) -> Column | None:
-    tests = [F.col(c).isin(*values) for c, values in slicers.items()]
-    return reduce(Column.__and__, tests) if tests else None
-
-
-def _sliced(rows: DataFrame, slicers: Mapping[str, Iterable]) -> DataFrame:
-    test = _slice(slicers)
+def _sliced(rows: DataFrame, slicers: Slicers) -> DataFrame:
+    test = slicer_test(slicers)
     return rows if test is None else rows.filter(test)
 
 
-def buyers(star: Star, by: list[str], slicers: Mapping[str, Iterable] | None = None) -> DataFrame:
-    """Customers with orders, and with two or more orders within the group."""
-    slicers = slicers or {}
-    lines = star.sales(*dict.fromkeys([*by, "customer_id", "order_id"]),
-                       where=_slice(slicers), where_columns=tuple(slicers))
-    per_customer = lines.groupBy(*by, "customer_id").agg(F.countDistinct("order_id").alias("orders"))
-    return per_customer.groupBy(*by).agg(
-        F.count("customer_id").alias("customers_with_orders"),
-        F.count_if(F.col("customer_id").isNotNull() & (F.col("orders") >= 2)).alias("repeat_customers"))
-
-
 def _with_time(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumns({
-        "month_start": F.trunc(column, "MM"), "year": F.year(column), "year_month": year_month(column)})
+        "month_start": F.trunc(column, "MM"), "year": F.year(column), "year_month": year_month(column),
+        "quarter": F.quarter(column), "month": F.month(column), "date": F.col(column)})
+
+
+def sliced_marketing(star: Star, slicers: Slicers | None) -> DataFrame:
+    """Marketing days under the slicers they know; others, such as a product category, do not touch them."""
+    known = {c: v for c, v in (slicers or {}).items() if c in MARKETING_DIMENSIONS}
+    return _sliced(_marketing_rows(star), known).select(*star.fact_marketing.columns)
 
 
 def _marketing_rows(star: Star) -> DataFrame:
@@ -182,3 +208,19 @@ def measures_sliced(star: Star) -> DataFrame:
     """Sales measures by brand for two categories and two regions: the slicers at work."""
     return measures(star, ["brand"], ["revenue", "gross_profit", "gross_margin", "orders", "units_sold"],
                     {"category": ["PROMO", "SMALL"], "region": ["ASIA", "EUROPE"], "active_flag": [1]})
+
+
+def measures_in_date_range(star: Star) -> DataFrame:
+    """All measures by month within three years: the date range at work, over all facts that have dates."""
+    return measures(star, ["year_month"], slicers={"date": Between(date(1996, 7, 1), date(1999, 6, 30))})
+
+
+def measures_by_segment(star: Star) -> DataFrame:
+    """Sales measures by customer segment (quintile scores over all orders)."""
+    names = ["revenue", "gross_profit", "orders", "customers_with_orders", "repeat_purchase_rate"]
+    return measures(with_segments(star), ["segment"], names)
+
+
+def growth_by_category(star: Star) -> DataFrame:
+    """Monthly growth by product category."""
+    return growth(star, ["category"])

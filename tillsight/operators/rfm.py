@@ -20,6 +20,7 @@ INACTIVE = "Clientes inactivos"
 SEGMENTS = (VIP, FREQUENT, NEW, AT_RISK, INACTIVE)
 
 ATTRIBUTES = ("customer_segment", "city", "region", "acquisition_date", "acquisition_channel")
+# The columns of the segment export.
 EXPORT_COLUMNS = (
     "customer_id", "segment", "has_purchase", "recency_days", "frequency", "monetary", "r_score", "f_score",
     "m_score", "rfm_score", "rfm_cell", "last_order_date", *ATTRIBUTES,
@@ -152,6 +153,12 @@ def all_customers(star: Star) -> DataFrame:
         "rfm_score": F.col("r_score") * 100 + F.col("f_score") * 10 + F.col("m_score"), "rfm_cell": _cell()})
 
 
+def with_segments(star: Star) -> Star:
+    """The star with each customer's segment as a dimension of its sales. Scoring runs at once."""
+    segments = all_customers(star).select("customer_id", "segment")
+    return star.with_tables(customer_rfm=lambda: segments)
+
+
 def rfm_all_customers(star: Star) -> DataFrame:
     """One row per customer: scores, segment and attributes."""
     return all_customers(star).withColumn("monetary", money("monetary")).select(*EXPORT_COLUMNS)
@@ -165,7 +172,7 @@ def rfm_scores_ntile(star: Star) -> DataFrame:
         "customer_id", "customer_segment", "region", "recency_days", "frequency",
         money("monetary").alias("monetary"), "r_score", "f_score", "m_score",
         _cell().alias("rfm_cell"), segment().alias("rfm_segment"),
-    ).orderBy(F.desc("m_score"), F.desc("f_score"), F.desc("r_score"))
+    ).orderBy(F.desc("m_score"), F.desc("f_score"), F.desc("r_score"), "customer_id")
 
 
 def customers_at_risk(star: Star) -> DataFrame:
@@ -175,7 +182,7 @@ def customers_at_risk(star: Star) -> DataFrame:
     return scored.select(
         "customer_id", "customer_segment", "region", "recency_days", "frequency",
         money("monetary").alias("monetary"), "r_score", "f_score", "m_score",
-    ).orderBy(F.desc("monetary"))
+    ).orderBy(F.desc("monetary"), "customer_id")
 
 
 def segment_totals(customers: DataFrame, label: str) -> DataFrame:

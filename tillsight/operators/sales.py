@@ -128,15 +128,16 @@ def monthly_margin_py(star: Star) -> DataFrame:
     ).orderBy("year_month")
 
 
-def mom_growth_calendar(star: Star) -> DataFrame:
-    """Growth against the previous calendar month, as a fraction; null when that month has no sales."""
-    months = monthly_totals(star).withColumn("month_before", _previous("month_start"))
-    follows = F.col("month_before") == F.add_months("month_start", -1)
+def calendar_growth(star: Star, by: list[str]) -> DataFrame:
+    """Growth of each group against its previous calendar month, as a fraction; null when that month has no sales."""
+    within = Window.partitionBy(*by).orderBy("month_start")  # one row per group and month
+    before = {c: F.lag(c).over(within) for c in ("month_start", "revenue", "gross_profit")}
+    months = order_totals(star, [*by, "month_start"], ["revenue", "gross_profit"])
+    follows = before["month_start"] == F.add_months("month_start", -1)
     months = months.withColumns({
-        "revenue_pm": F.when(follows, _previous("revenue")),
-        "gross_profit_pm": F.when(follows, _previous("gross_profit")),
-    })
+        "revenue_pm": F.when(follows, before["revenue"]), "gross_profit_pm": F.when(follows, before["gross_profit"])})
     return months.select(
+        *by,
         year_month("month_start").alias("year_month"),
         money("revenue").alias("revenue"),
         money("revenue_pm").alias("revenue_pm"),
@@ -144,7 +145,12 @@ def mom_growth_calendar(star: Star) -> DataFrame:
         money("gross_profit").alias("gross_profit"),
         money("gross_profit_pm").alias("gross_profit_pm"),
         ratio("gross_profit - gross_profit_pm", "gross_profit_pm").alias("gross_profit_growth"),
-    ).orderBy("year_month")
+    ).orderBy(*by, "year_month")
+
+
+def mom_growth_calendar(star: Star) -> DataFrame:
+    """Growth against the previous calendar month, as a fraction; null when that month has no sales."""
+    return calendar_growth(star, [])
 
 
 # --- categories and products ----------------------------------------------------------------------
@@ -294,10 +300,7 @@ def line_margins(star: Star, *columns: str) -> DataFrame:
     """``columns`` and the margin of each line in 1e-8; null unless revenue is positive."""
     lines = star.sales(*dict.fromkeys([*columns, "list_amount", "revenue", "gross_profit"]),
                        where=F.col("list_amount") > 0)
-    # Longs as long as they fit: decimals only for lines beyond 900 million.
-    margin = F.expr(
-        f"CASE WHEN revenue > 0 AND abs(gross_profit) < 90000000000 THEN (gross_profit * {MARGIN_UNITS}L) div revenue "
-        f"WHEN revenue > 0 THEN (CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div revenue END")
+    margin = F.expr(f"CASE WHEN revenue > 0 THEN (CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div revenue END")
     return lines.select(*columns, margin.alias("margin"))
 
 

@@ -10,6 +10,9 @@ from tillsight.functions.money import money, pct, ratio, wide_sum
 from tillsight.operators import marketing, rfm, sales
 from tillsight.sources.star import Star
 
+# The words of the report.
+LOWER, HIGHER, LOSS, GAIN = "menor", "mayor", "pérdida", "ganancia"
+
 NAMED_CATEGORY = "ECONOMY"  # the category the report singles out
 
 
@@ -97,7 +100,7 @@ def finding_discount_gap(star: Star) -> DataFrame:
     gap = F.col("without_discount_pct") - F.col("with_discount_pct")
     return margins.agg(mean(1).alias("with_discount_pct"), mean(0).alias("without_discount_pct")).select(
         "with_discount_pct", "without_discount_pct", gap.alias("gap_points"),
-        F.when(gap > 0, "menor").otherwise("mayor").alias("discounted_margin_is"))
+        F.when(gap > 0, LOWER).otherwise(HIGHER).alias("discounted_margin_is"))
 
 
 def finding_net_shipping(star: Star) -> DataFrame:
@@ -105,7 +108,7 @@ def finding_net_shipping(star: Star) -> DataFrame:
     per_channel = star.sales("channel_id", "shipping_revenue", "shipping_cost").groupBy("channel_id").agg(
         F.sum(F.col("shipping_revenue") - F.col("shipping_cost")).alias("net"))
     return per_channel.agg(wide_sum("net").alias("net")).select(
-        money("net").alias("net_shipping"), F.when(F.col("net") < 0, "pérdida").otherwise("ganancia").alias("outcome"))
+        money("net").alias("net_shipping"), F.when(F.col("net") < 0, LOSS).otherwise(GAIN).alias("outcome"))
 
 
 def finding_segments(star: Star) -> DataFrame:
@@ -125,19 +128,19 @@ def finding_segments(star: Star) -> DataFrame:
         money("at_risk_value").alias("at_risk_monetary"))
 
 
-def findings_report(star: Star, period: Star) -> DataFrame:
-    """Every finding as (finding, metric, value, label). Channels and segments are judged within ``period``."""
+def findings_report(star: Star) -> DataFrame:
+    """Every finding as (finding, metric, value, label)."""
     found = {
         "totals": finding_totals(star),
         "loss_categories": finding_loss_categories(star).withColumn(
             "subject", F.concat_ws(":", "role", "category")).drop("role", "category"),
         "peak_and_drop": finding_peak_and_drop(star),
         "concentration": finding_concentration(star),
-        "channels": finding_channels(period),
+        "channels": finding_channels(star),
         "worst_return_category": finding_worst_return_category(star).withColumnRenamed("category", "subject"),
         "discount_gap": finding_discount_gap(star),
         "net_shipping": finding_net_shipping(star),
-        "segments": finding_segments(period),
+        "segments": finding_segments(star),
     }
     return reduce(DataFrame.unionByName, [_long(name, rows) for name, rows in found.items()])
 

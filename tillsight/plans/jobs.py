@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tillsight.operators import cleaning, loading, quality, rfm
 from tillsight.plans.registry import named_queries
 from tillsight.sources.star import Star, read_star, typed, write_star
-from tillsight.sources.tables import PERIOD
+from tillsight.sources.session import shared_folder
 
 # Report file names and the query behind each.
 REPORTS = {
@@ -57,18 +57,20 @@ def run_named_queries(spark: SparkSession, tables: str, out: str, reports: Itera
     return [(name, write_counted(queries[REPORTS[name]](spark, tables), f"{out}/{name}", fmt)) for name in reports]
 
 
-def clean_raw_files(spark: SparkSession, raw_folder: str, out: str, period=PERIOD, fmt: str = "parquet") -> CleanResult:
-    """Validate six raw CSV files, clean them, validate again and write the result.
+def clean_raw_files(spark: SparkSession, raw_folder: str, out: str, period: quality.Period = None,
+                    fmt: str = "parquet", **options) -> CleanResult:
+    """Validate six raw CSV files, clean them, validate what was written and publish it.
 
-    Nothing is written while a critical rule still fails.
+    The clean tables are computed once, into a staging folder. While a critical
+    rule fails there, nothing under ``out`` is touched. ``options`` go to the CSV reader.
     """
-    text = read_star(spark, raw_folder, raw=True)
+    text = read_star(spark, raw_folder, raw=True, **options)
     raw = text.with_tables(**{n: (lambda n=n: typed(text.table(n), n)) for n in text.tables()})
     before = quality.validate_all(text, period)
-    clean = cleaning.clean_star(raw)
-    after = quality.require_unblocked(clean, period)
-    written = write_star(clean, out, fmt)
-    return CleanResult(clean, written, before, after, cleaning.cleaning_log(raw), cleaning.reconcile_revenue(raw, clean))
+    staged = loading.load_star(cleaning.clean_star(raw), f"{shared_folder(spark)}/clean-staging")
+    after = quality.require_unblocked(staged, period)
+    written = write_star(staged, out, fmt)
+    return CleanResult(staged, written, before, after, cleaning.cleaning_log(raw), cleaning.reconcile_revenue(raw, staged))
 
 
 def load_and_verify(star: Star, folder: str) -> tuple[Star, DataFrame]:

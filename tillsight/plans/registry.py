@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.operators import cleaning, loading, marketing, measures, quality, rfm, sales
 from tillsight.plans import findings, pages
-from tillsight.sources.calendar import data_calendar
 from tillsight.sources.star import Star
-from tillsight.sources.tables import PERIOD, open_raw_star, open_star
+from tillsight.sources.session import shared_folder
+from tillsight.sources.tables import open_raw_star, open_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Over all order dates.
-WHOLE: dict[str, Callable[[Star], DataFrame]] = {
+# Over the clean star.
+CLEAN: dict[str, Callable[[Star], DataFrame]] = {
     "sales_enriched": sales.sales_enriched,
     "line_economics": sales.line_economics,
     "line_discount_margin": sales.line_discount_margin,
@@ -33,16 +33,20 @@ WHOLE: dict[str, Callable[[Star], DataFrame]] = {
     "shipping_by_region": sales.shipping_by_region,
     "margin_by_discount_bucket": sales.margin_by_discount_bucket,
     "table_totals": sales.table_totals,
-    "calendar_spine": lambda star: data_calendar(star.sales("order_date"), "order_date"),
+    "calendar_spine": lambda star: star.dim_date,
     "seed_channels": loading.seed_channels,
     "load_star_counts": loading.load_star_counts,
     "load_verification": lambda star: quality.load_verification(star, loading.load_star(star)),
     "quality_checks": quality.quality_checks,
     "measures_by_category": measures.measures_by_category,
     "measures_sliced": measures.measures_sliced,
+    "measures_in_date_range": measures.measures_in_date_range,
+    "measures_by_segment": measures.measures_by_segment,
+    "growth_by_category": measures.growth_by_category,
     "page_overview_monthly": pages.overview_monthly,
     "page_overview_category": pages.overview_category,
     "page_product_table": pages.product_table,
+    "page_product_table_sliced": pages.product_table_sliced,
     "page_product_top10": pages.product_top10,
     "page_ops_returns": pages.ops_returns,
     "page_ops_shipping": pages.ops_shipping,
@@ -55,10 +59,6 @@ WHOLE: dict[str, Callable[[Star], DataFrame]] = {
     "finding_worst_return_category": findings.finding_worst_return_category,
     "finding_discount_gap": findings.finding_discount_gap,
     "finding_net_shipping": findings.finding_net_shipping,
-}
-
-# Within the 18-month period: marketing exists only there, and only there some customers never bought.
-IN_PERIOD: dict[str, Callable[[Star], DataFrame]] = {
     "channel_performance": marketing.channel_performance,
     "channel_performance_py": marketing.channel_performance_py,
     "campaign_performance": marketing.campaign_performance,
@@ -70,7 +70,7 @@ IN_PERIOD: dict[str, Callable[[Star], DataFrame]] = {
     "rfm_scores_quintile": rfm.rfm_scores_quintile,
     "rfm_scores_ntile": rfm.rfm_scores_ntile,
     "rfm_all_customers": rfm.rfm_all_customers,
-    "rfm_export": rfm.rfm_all_customers,
+    "rfm_export": lambda star: _exported(star),
     "rfm_segment_summary": rfm.rfm_segment_summary,
     "segment_share": rfm.segment_share,
     "rfm_segment_summary_all": rfm.rfm_segment_summary_all,
@@ -92,9 +92,17 @@ IN_PERIOD: dict[str, Callable[[Star], DataFrame]] = {
     "page_customer_at_risk": pages.customer_at_risk,
     "finding_channels": findings.finding_channels,
     "finding_segments": findings.finding_segments,
+    "findings_report": findings.findings_report,
 }
 
 
+def _exported(star: Star) -> DataFrame:
+    """The customer segments as written to a file and read back."""
+    path = f"{shared_folder(star.spark)}/customer_rfm"
+    rfm.rfm_all_customers(star).write.mode("overwrite").parquet(path)
+    return star.spark.read.parquet(path)
+
+
 def _kind(kind: str) -> Callable[[Star], DataFrame]:
     return lambda raw: quality.validate_kind(raw, kind)
 
@@ -119,33 +127,23 @@ RAW: dict[str, Callable[[Star], DataFrame]] = {
     "clean_fill_discount": cleaning.clean_fill_discount,
     "clean_fill_shipping_median": cleaning.clean_fill_shipping_median,
     "clean_star": cleaning.clean_lines,
-    "reconcile_revenue": lambda raw: cleaning.reconcile_revenue(raw, cleaning.clean_star(raw)),
+    "reconcile_revenue": cleaning.reconcile_cleaning,
     "cleaning_log": cleaning.cleaning_log,
     "validation_before_after": lambda raw: cleaning.validation_before_after(raw, cleaning.clean_star(raw)),
     "source_null_report": cleaning.source_null_report,
 }
 
 
-def _on_whole(operator: Callable[[Star], DataFrame]) -> Query:
+def _on_clean(operator: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, folder: operator(open_star(spark, folder))
 
 
-def _on_period(operator: Callable[[Star], DataFrame]) -> Query:
-    return lambda spark, folder: operator(open_star(spark, folder, PERIOD))
-
-
 def _on_raw(operator: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, folder: operator(open_raw_star(spark, folder))
 
 
-def _findings_report(spark: SparkSession, folder: str) -> DataFrame:
-    return findings.findings_report(open_star(spark, folder), open_star(spark, folder, PERIOD))
-
-
 def named_queries() -> dict[str, Query]:
     return {
-        **{name: _on_whole(op) for name, op in WHOLE.items()},
-        **{name: _on_period(op) for name, op in IN_PERIOD.items()},
+        **{name: _on_clean(op) for name, op in CLEAN.items()},
         **{name: _on_raw(op) for name, op in RAW.items()},
-        "findings_report": _findings_report,
     }

@@ -6,9 +6,6 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# The reference period of the test tables: 18 months.
-PERIOD_START, PERIOD_MONTHS = date(2000, 1, 1), 18
-
 
 def period_bounds(start: date | Column, n_months: int | Column) -> tuple[Column, Column]:
     """First and last day of ``n_months`` months from ``start``."""
@@ -37,15 +34,17 @@ def calendar_spine(bounds: DataFrame) -> DataFrame:
     )
 
 
-def period_calendar(spark: SparkSession, start: date = PERIOD_START, n_months: int = PERIOD_MONTHS) -> DataFrame:
+def period_calendar(spark: SparkSession, start: date, n_months: int) -> DataFrame:
     first, last = period_bounds(start, n_months)
     return calendar_spine(spark.range(1).select(first.alias("first"), last.alias("last")))
 
 
+def whole_months(dates: DataFrame, column: str) -> DataFrame:
+    """One row: ``first`` and ``last`` day of the months that hold every value of a date column."""
+    return dates.agg(
+        F.trunc(F.min(column), "MM").alias("first"), F.last_day(F.max(column)).alias("last"))
+
+
 def data_calendar(dates: DataFrame, column: str) -> DataFrame:
     """Whole months that cover every value of a date column."""
-    ends = dates.agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    start = F.trunc("low", "MM")
-    months = F.months_between(F.trunc("high", "MM"), start).cast("int") + 1
-    first, last = period_bounds(start, months)
-    return calendar_spine(ends.select(first.cast("date").alias("first"), last.alias("last")))
+    return calendar_spine(whole_months(dates, column))

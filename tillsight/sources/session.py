@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # AQE splits a hot join key by itself. Forcing the split matters where a join on
@@ -25,9 +23,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is configured (tests)."""
+    """The cluster's checkpoint folder, or a folder in the warehouse where none is configured.
+
+    On a cluster the warehouse must then be on shared storage: executors cannot
+    read what others wrote to a local disk.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    folder = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     context = spark.sparkContext
+    if not configured and not context.master.startswith("local") and folder.partition(":")[0] in ("file", folder):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tillsight-"))
-    return configured or context.getCheckpointDir()
+        context.setCheckpointDir(folder)
+    return folder

@@ -6,7 +6,8 @@ Money is integer cents inside the star and currency units in CSV files.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from functools import partial
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -48,24 +49,54 @@ SALES_DIMENSIONS: dict[str, tuple[str, tuple[str, ...]]] = {
     "dim_product": ("product_id", ("product_name", "category", "subcategory", "brand", "active_flag")),
     "dim_customer": ("customer_id", ("customer_segment", "city", "region", "acquisition_channel")),
     "dim_channel": ("channel_id", ("channel_name", "channel_type")),
+    "customer_rfm": ("customer_id", ("segment",)),  # not one of the six: see rfm.with_segments
 }
 
 
+@dataclass(frozen=True)
+class Between:
+    """Slicer for a range of values, both ends included; None leaves an end open."""
+
+    low: object = None
+    high: object = None
+
+
+# Column -> the values that stay, or a range of them.
+Slicers = Mapping[str, Iterable | Between]
+
+
+def slicer_test(slicers: Slicers) -> Column | None:
+    """Condition that every slicer holds; a null value is in none."""
+    def test(column: str, values: Iterable | Between) -> Column:
+        if not isinstance(values, Between):
+            return F.col(column).isin(*values)
+        low = F.lit(True) if values.low is None else F.col(column) >= F.lit(values.low)
+        high = F.lit(True) if values.high is None else F.col(column) <= F.lit(values.high)
+        return F.col(column).isNotNull() & low & high
+
+    return reduce(Column.__and__, [test(c, v) for c, v in slicers.items()]) if slicers else None
+
+
 class Star:
     """Six tables, each built when first asked for.
 
     ``narrow`` lets a source that assembles ``fact_sales`` from several tables
-    skip the joins a query does not need; it takes the wanted column names.
+    skip the joins a query does not need; it takes the wanted column names and
+    how to join the dimensions they come from.
     """
 
     def __init__(self, spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]],
-                 narrow: Callable[[frozenset[str]], DataFrame] | None = None) -> None:
+                 narrow: Callable[[frozenset[str], str], DataFrame] | None = None,
+                 slicers: Slicers | None = None) -> None:
         self.spark = spark
+        self.slicers = dict(slicers or {})
         self.narrow = narrow
         self._tables = dict(tables)
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name == "customer_rfm" and name not in self._tables:
+            raise ValueError("segments need scored customers: use rfm.with_segments(star)")
         if name not in self._built:
             self._built[name] = self._tables[name]()
         return self._built[name]
@@ -83,19 +114,24 @@ class Star:
     def with_tables(self, **tables: Callable[[], DataFrame]) -> Star:
         """Copy with some tables replaced; a replaced fact drops the narrow reader."""
         narrow = None if "fact_sales" in tables else self.narrow
-        return Star(self.spark, {**self._tables, **tables}, narrow)
+        return Star(self.spark, {**self._tables, **tables}, narrow, self.slicers)
+
+    def sliced(self, slicers: Slicers | None) -> Star:
+        """Copy whose :meth:`sales` hold only what the slicers let through; its tables are the same."""
+        return Star(self.spark, self._tables, self.narrow, {**self.slicers, **(slicers or {})}) if slicers else self
 
     def sales(self, *columns: str, how: str = "inner", where: Column | None = None,
               where_columns: Iterable[str] = ()) -> DataFrame:
         """Order lines with exactly ``columns``, joining only the dimensions they come from.
 
         ``where`` filters the lines and may read ``where_columns`` beside ``columns``.
+        The star's slicers filter them too.
         """
-        wanted = list(dict.fromkeys([*columns, *where_columns]))
+        wanted = list(dict.fromkeys([*columns, *where_columns, *self.slicers]))
         inputs = dict.fromkeys(c for w in wanted for c in (DERIVED[w][0] if w in DERIVED else (w,)))
         outside = {c: (dim, key) for dim, (key, cols) in SALES_DIMENSIONS.items() for c in cols}
         keys = {key: None for c, (_, key) in outside.items() if c in inputs}
-        lines = self.narrow(frozenset([*inputs, *keys])) if self.narrow else self.fact_sales
+        lines = self.narrow(frozenset([*inputs, *keys]), how) if self.narrow else self.fact_sales
         for dim, (key, cols) in SALES_DIMENSIONS.items():
             missing = [c for c in cols if c in inputs and c not in lines.columns]
             if missing:
@@ -103,20 +139,34 @@ class Star:
         lines = lines.select(*[
             F.expr(DERIVED[w][1]).alias(w) if w in DERIVED else F.col(w) for w in wanted
         ])
-        if where is not None:
-            lines = lines.filter(where)
+        for test in (where, slicer_test(self.slicers)):
+            if test is not None:
+                lines = lines.filter(test)
         return lines.select(*columns)
 
 
-def read_star(spark: SparkSession, folder: str, raw: bool = False) -> Star:
-    """Read six CSV files with a header. ``raw`` keeps every column as text, for validation."""
-    return Star(spark, {name: partial(_read_csv, spark, f"{folder}/{name}.csv", name, raw) for name in TABLES})
+def read_star(spark: SparkSession, folder: str, raw: bool = False, **options) -> Star:
+    """Read six CSV files with a header. ``raw`` keeps every column as text, for validation.
 
-
-def _read_csv(spark: SparkSession, path: str, table: str, raw: bool) -> DataFrame:
-    text = ", ".join(f"`{name}` string" for name in COLUMNS[table])
-    rows = spark.read.schema(text).csv(path, header=True, escape='"')
-    rows = rows.select(*[F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)).alias(c) for c in rows.columns])
+    Columns are found by their names, in any order; others are ignored, a missing
+    one is an error. ``options`` go to the reader: ``multiLine=True`` reads line
+    breaks inside quotes, at the price of not splitting a file. Without it a
+    record with one is broken, and reading fails.
+    """
+    return Star(spark, {name: partial(_read_csv, spark, f"{folder}/{name}.csv", name, raw, options) for name in TABLES})
+
+
+def _read_csv(spark: SparkSession, path: str, table: str, raw: bool, options: Mapping) -> DataFrame:
+    reader = spark.read.options(**{"header": True, "escape": '"', "mode": "FAILFAST", "inferSchema": False, **options})
+    names = {name.strip() for name in reader.csv(path).columns}
+    missing = [c for c in COLUMNS[table] if c not in names]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    text = ", ".join(f"`{name.replace('`', '``')}` string" for name in reader.csv(path).columns)
+    # Column pruning would keep the parser from seeing that a record is broken.
+    rows = reader.option("columnPruning", False).schema(text).csv(path)
+    rows = rows.select(*[F.when(~F.col(f"`{c}`").isin(*NULL_TOKENS), F.col(f"`{c}`")).alias(c.strip()) for c in rows.columns if c.strip() in COLUMNS[table]])
+    rows = rows.select(*COLUMNS[table])
     return rows if raw else typed(rows, table)
 
 

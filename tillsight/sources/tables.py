@@ -9,11 +9,10 @@ splits hot keys otherwise.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillsight.sources.calendar import PERIOD_MONTHS, PERIOD_START, period_bounds, period_calendar
+from tillsight.sources.calendar import data_calendar, whole_months
 from tillsight.sources.session import prepare
 from tillsight.sources.star import COLUMNS, Star
 
@@ -27,7 +26,6 @@ CHANNELS = (
     (6, "Direct", "Direct"),
 )
 
-PERIOD = (PERIOD_START, PERIOD_MONTHS)
 ORDER_COLUMNS = frozenset({"order_date", "customer_id"})
 PART_COLUMNS = frozenset({"product_cost", "product_name", "category", "subcategory", "brand", "active_flag"})
 # Cents are floor(x * 100 + 0.5): round() on doubles goes through BigDecimal for every row.
@@ -39,12 +37,12 @@ def channel_rows(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(channel_id, channel_name, channel_type)")
 
 
-def open_star(spark: SparkSession, folder: str, period: tuple[date, int] | None = None) -> Star:
-    """Clean star; ``period`` keeps the orders of that many months from a start date."""
+def open_star(spark: SparkSession, folder: str) -> Star:
+    """Clean star over all orders. Turns on adaptive skew handling in the session, see ``prepare``."""
     prepare(spark)
 
-    def narrow(columns: frozenset[str]) -> DataFrame:
-        return sales_lines(spark, folder, columns, period)
+    def narrow(columns: frozenset[str], how: str) -> DataFrame:
+        return sales_lines(spark, folder, columns, how)
 
     return _star(spark, folder, narrow)
 
@@ -53,8 +51,8 @@ def open_raw_star(spark: SparkSession, folder: str) -> Star:
     """The same star with deterministic defects: nulls, padded text and repeated lines."""
     prepare(spark)
 
-    def narrow(columns: frozenset[str]) -> DataFrame:
-        return _spoil_sales(sales_lines(spark, folder, columns | {"order_id", "line_number"}, None))
+    def narrow(columns: frozenset[str], how: str) -> DataFrame:
+        return _spoil_sales(sales_lines(spark, folder, columns | {"order_id", "line_number"}, how))
 
     clean = _star(spark, folder, narrow)
 
@@ -75,14 +73,14 @@ def open_raw_star(spark: SparkSession, folder: str) -> Star:
     return clean.with_tables(dim_customer=spoiled_customers, dim_product=spoiled_products)
 
 
-def _star(spark: SparkSession, folder: str, narrow: Callable[[frozenset[str]], DataFrame]) -> Star:
+def _star(spark: SparkSession, folder: str, narrow: Callable[[frozenset[str], str], DataFrame]) -> Star:
     sales = list(COLUMNS["fact_sales"])
     return Star(spark, {
-        "dim_date": lambda: period_calendar(spark),
+        "dim_date": lambda: data_calendar(_order_dates(spark, folder), "order_date"),
         "dim_product": lambda: products(spark, folder),
         "dim_customer": lambda: customers(spark, folder),
         "dim_channel": lambda: channel_rows(spark),
-        "fact_sales": lambda: narrow(frozenset(sales)).select(*sales),
+        "fact_sales": lambda: narrow(frozenset(sales), "left").select(*sales),
         "fact_marketing": lambda: marketing(spark, folder),
     }, narrow)
 
@@ -104,6 +102,16 @@ def _parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(SOURCES[table]).parquet(f"{folder}/{table}.parquet")
 
 
+def _order_dates(spark: SparkSession, folder: str) -> DataFrame:
+    return _parquet(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("order_date"))
+
+
+def _order_days(spark: SparkSession, folder: str) -> Column:
+    """(first, days) of the whole months with orders: acquisition and marketing are dealt over them."""
+    return whole_months(_order_dates(spark, folder), "order_date").select(
+        F.struct("first", (F.datediff("last", "first") + 1).alias("days"))).scalar()
+
+
 def _product_columns() -> list[str]:
     return [
         "p_partkey AS product_id",
@@ -131,21 +139,22 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
         _parquet(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     joined = _parquet(spark, folder, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     channel = "CASE c_custkey % 6 " + " ".join(f"WHEN {i - 1} THEN '{name}'" for i, name, _ in CHANNELS) + " END"
-    return joined.selectExpr(
+    # Some customers come before the first order: up to half a year.
+    return joined.withColumn("span", _order_days(spark, folder)).selectExpr(
         "c_custkey AS customer_id",
         "c_mktsegment AS customer_segment",
         "n_name AS city",
         "r_name AS region",
-        "date_add(DATE'1999-07-05', CAST((c_custkey * 37) % 727 AS INT)) AS acquisition_date",
+        "date_add(span.first, CAST((c_custkey * 37) % (span.days + 180) - 180 AS INT)) AS acquisition_date",
         f"{channel} AS acquisition_channel",
     )
 
 
 def marketing(spark: SparkSession, folder: str) -> DataFrame:
     """Event log rolled up to one row per channel and day."""
-    events = _parquet(spark, folder, "events").select(
+    events = _parquet(spark, folder, "events").withColumn("span", _order_days(spark, folder)).select(
         F.expr("CAST(2 + user_id % 4 AS INT) AS channel_id"),
-        F.expr("date_add(DATE'2000-01-01', CAST(event_id % 547 AS INT)) AS date"),
+        F.expr("date_add(span.first, CAST(event_id % span.days AS INT)) AS date"),
         "event_type",
         F.expr("floor(value * 100 + 0.5D) * 10 AS spend"),
     )
@@ -161,12 +170,13 @@ def marketing(spark: SparkSession, folder: str) -> DataFrame:
     return days.withColumn("campaign_name", F.expr(campaign)).select(*COLUMNS["fact_marketing"])
 
 
-def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
-                period: tuple[date, int] | None) -> DataFrame:
+def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str], how: str) -> DataFrame:
     """Order lines with the joins that ``columns`` need and the product attributes met on the way.
 
-    Foreign keys are taken as declared: a join that only checks for a match is
-    left out. Orders come last, so that a grouping by order needs no new shuffle.
+    Every line stays, also one without an order or part: what comes from there is
+    null then. Only with ``how="inner"`` do lines without the product go whose
+    attributes are asked for. Orders come last, so that a grouping by order needs
+    no new shuffle.
     """
     lines = _parquet(spark, folder, "lineitem").selectExpr(
         "l_orderkey AS order_id",
@@ -174,7 +184,7 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
         "l_linenumber AS line_number",
         "CAST(1 + l_orderkey % 6 AS INT) AS channel_id",
         "CAST(l_quantity AS INT) AS quantity",
-        "floor(l_extendedprice * 100 + 0.5D) div CAST(l_quantity AS INT) AS unit_price",
+        "floor(l_extendedprice * 100 + 0.5D) div nullif(CAST(l_quantity AS INT), 0) AS unit_price",
         "floor(l_discount * 100 + 0.5D) AS discount_points",
         "l_returnflag",
     ).selectExpr(
@@ -194,19 +204,17 @@ def sales_lines(spark: SparkSession, folder: str, columns: frozenset[str],
              "shipping_revenue", "shipping_cost", "payment_fee", "returned_flag", "refund_amount"]
     if columns & PART_COLUMNS:
         part = _parquet(spark, folder, "part").selectExpr(*_product_columns(), f"{COST_RATE} AS cost_rate")
-        lines = lines.join(part, "product_id").withColumn(
+        attributes = columns & (PART_COLUMNS - {"product_cost"})
+        lines = lines.join(part, "product_id", how if attributes else "left").withColumn(
             "product_cost", F.expr("(gross_list * cost_rate) div 100"))
         found += sorted(PART_COLUMNS)
-    if columns & ORDER_COLUMNS or period:
+    if columns & ORDER_COLUMNS:
         orders = _parquet(spark, folder, "orders").select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("o_custkey").alias("customer_id"),
         )
-        if period:
-            first, last = period_bounds(*period)
-            orders = orders.filter(F.col("order_date").between(first, last))
-        lines = lines.join(orders, "order_id")
+        lines = lines.join(orders, "order_id", "left")
         found += sorted(ORDER_COLUMNS)
     return lines.select(*found)
 
