@@ -18,6 +18,7 @@ other; a null id comes after all others; equal rows give equal results.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,16 +32,29 @@ from tillsight.llm.common import map_batches, pieces, sha256, whole
 WINDOW, PERIOD = 20, 13
 COVER = (0, 1, 3, 9)  # a perfect difference set modulo 13
 ANCHOR = WINDOW - PERIOD + 1
-PIECE = 16 << 20
+PIECE = 8 << 20  # bytes of a batch, compressed or not, that are worked on together
+DOCUMENT = ["row", "k1", "k2", "id", "text"]
 LAST = np.iinfo(np.int64).max
 FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)  # odd multipliers of the window hashes
 
 
-def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def deflated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, k1, k2, id, text) with compressed texts: they are shuffled once and read three times."""
+    for batch in batches:
+        for piece in pieces(batch, PIECE):
+            packed = [zlib.compress(t.encode(), 1) for t in piece.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(packed, pa.binary())], names=DOCUMENT)
+
+
+def words_of(piece: pa.RecordBatch) -> Iterator[list[bytes]]:
+    for packed in piece.column("text"):
+        yield zlib.decompress(packed.as_buffer()).split()
+
+
+def hashed(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The 128-bit hashes of all words, one row each, and the number of words of each text."""
-    split = [t.encode().split() for t in texts]
-    sizes = np.array([len(w) for w in split], np.int64)
-    digests = b"".join([b"".join(map(xxhash.xxh3_128_digest, words)) for words in split])
+    each = [b"".join(map(xxhash.xxh3_128_digest, words)) for words in words_of(piece)]
+    sizes, digests = np.array([len(d) // 16 for d in each], np.int64), b"".join(each)
     return np.frombuffer(digests, "<u8").reshape(-1, 2), sizes
 
 
@@ -58,35 +72,35 @@ def places(sizes: np.ndarray) -> np.ndarray:
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, text) -> (key, row, at, n): an anchor's hash, its place, and 2 where it is known to occur again."""
+    """Documents -> (key, row, code): an anchor's hash, its document, its place * 2 and 1 more where it is known to occur again."""
     for batch in batches:
         for piece in pieces(batch, PIECE):
-            words, sizes = hashed(piece.column("text").to_pylist())
+            words, sizes = hashed(piece)
             rows = np.repeat(piece.column("row").to_numpy(), sizes)
             at, room = places(sizes), np.repeat(sizes, sizes)
             here = np.flatnonzero(np.isin(at % PERIOD, COVER) & (at + ANCHOR <= room) & (room >= WINDOW))
             keys, rows, at = combined(words[:, 0], here, ANCHOR, FACTORS[0]), rows[here], at[here]
             _, first, group, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-            n = np.minimum(count, 2)[group]
+            known = (count > 1)[group]
             again = np.ones(len(keys), bool)
             again[first] = False
             keys[again] = combined(np.stack([rows, at], 1).view(np.uint64).reshape(-1), 2 * np.flatnonzero(again), 2, FACTORS[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(rows), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["key", "row", "at", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, rows, at * 2 + known)], names=["key", "row", "code"])
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, id, text, ats) -> (h1, h2, id, row, at, n, known): windows around anchors that occur again.
+    """Documents with `codes` of anchors -> (h1, h2, id, row, code): windows around anchors that occur again.
 
-    known: `n` windows in a row that start earlier in the same batch; the others are the
-    first of their hash here and have n = 1.
+    code: place + length * 2**32. Length 0 is a window that is the first of its hash in this
+    batch; otherwise so many windows in a row start earlier here.
     """
     for batch in batches:
         for piece in pieces(batch, PIECE):
-            words, sizes = hashed(piece.column("text").to_pylist())
+            words, sizes = hashed(piece)
             starts = np.cumsum(sizes) - sizes
             marked = np.zeros(len(words) + 1, np.int64)
-            for base, size, ats in zip(starts.tolist(), sizes.tolist(), piece.column("ats")):
-                ats = ats.values.to_numpy()
+            for base, size, codes in zip(starts.tolist(), sizes.tolist(), piece.column("codes")):
+                ats = codes.values.to_numpy() >> 1
                 np.add.at(marked, base + np.clip(ats - PERIOD + 1, 0, size - WINDOW + 1), 1)
                 np.add.at(marked, base + np.clip(ats + 1, 0, size - WINDOW + 1), -1)
             here = np.flatnonzero(np.cumsum(marked)[:-1] > 0)
@@ -102,29 +116,29 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # known windows that follow each other are one row
             head = ~known | np.append(True, ~known[:-1] | (np.diff(here) != 1) | (np.diff(text) != 0))[: len(known)]
             lead = np.flatnonzero(head)
-            n = np.diff(np.append(lead, len(known)))
+            n = np.where(known[lead], np.diff(np.append(lead, len(known))), 0)
             h1, h2, ids, rows, at, known = (c[lead] for c in (h1, h2, ids, rows, at, known))
             h1[known] = rows[known] ^ (at[known] * 0x9E3779B97F4A7C1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (h1, h2, ids, rows, at.astype(np.int32), n.astype(np.int32), known)],
-                names=["h1", "h2", "id", "row", "at", "n", "known"],
+                [pa.array(c) for c in (h1, h2, ids, rows, at + (n << 32))],
+                names=["h1", "h2", "id", "row", "code"],
             )
 
 
 def cutter(texts: bool):
-    """(k1, k2, id, text, gone) -> (k1, k2, n_words, n_removed, kept_sha256) and, if asked for, kept: texts without the removed windows' words."""
+    """Documents with `gone` windows -> (k1, k2, n_words, n_removed, kept_sha256) and, if asked for, kept: texts without the removed windows' words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, PIECE):
                 totals, removed, kept = [], [], []
-                for own, text, gone in zip(piece.column("id").to_pylist(), piece.column("text").to_pylist(), piece.column("gone").to_pylist()):
-                    words = text.encode().split()
+                for own, words, gone in zip(piece.column("id").to_pylist(), words_of(piece), piece.column("gone").to_pylist()):
                     flags = np.zeros(len(words) + 1, np.int64)
                     for g in gone or ():
                         if g["id"] == own:
-                            flags[g["at"]] += 1
-                            flags[g["at"] + g["n"] + WINDOW - 1] -= 1
+                            at, n = g["code"] & 0xFFFFFFFF, max(1, g["code"] >> 32)
+                            flags[at] += 1
+                            flags[at + n + WINDOW - 1] -= 1
                     stay = (np.cumsum(flags)[:-1] == 0).tolist()
                     left = [w for w, s in zip(words, stay) if s]
                     totals.append(len(words))
@@ -145,23 +159,24 @@ def repeated_substrings(docs: DataFrame, text: str = "text", texts: bool = True)
     members = keyed.select("doc_id", "k1", "k2", ident.alias("id"))
     classes = members.groupBy("k1", "k2").agg(F.min("id").alias("first_id"))
     row = lambda id_: F.xxhash64(id_, "k1", "k2").alias("row")
-    # one row of each class, dealt by `row`; Spark shuffles it once for the three uses below
-    single = keyed.select(row(ident), "k1", "k2", ident.alias("id"), "text").dropDuplicates(["row"])
-    first = single.join(classes.select(row("first_id")), "row", "left_semi")
+    # One row of each class. All three uses ask for the same columns, so that Spark shuffles the texts once.
+    packed = map_batches(keyed.select(row(ident), "k1", "k2", ident.alias("id"), "text"), deflated, "row long, k1 long, k2 long, id long, text binary")
+    single = packed.dropDuplicates(["row"])
+    first = single.join(classes.select(row("first_id")), "row", "left_semi").select(DOCUMENT)
 
     again = Window.partitionBy("key")
     repeated = (
-        map_batches(first.select("row", "text"), anchors, "key long, row long, at int, n int")
-        .withColumn("total", F.sum("n").over(again)).where("total > 1")
-        .groupBy("row").agg(F.collect_list("at").alias("ats"))
+        map_batches(first, anchors, "key long, row long, code long")
+        .withColumn("known", F.max(F.col("code") % 2).over(again) + F.count("*").over(again)).where("known > 1")
+        .groupBy("row").agg(F.collect_list("code").alias("codes"))
     )
-    found = map_batches(first.join(repeated, "row").select("row", "id", "text", "ats"), windows, "h1 long, h2 long, id long, row long, at int, n int, known boolean")
-    start = F.struct("id", "at")
+    found = map_batches(first.join(repeated, "row").select(*DOCUMENT, "codes"), windows, "h1 long, h2 long, id long, row long, code long")
+    start = F.struct("id", F.expr("code & 4294967295").alias("at"))
     removed = (
-        found.withColumn("least", F.min(start).over(Window.partitionBy("h1", "h2"))).where(F.col("known") | (start > F.col("least")))
-        .groupBy("row").agg(F.collect_list(F.struct("id", "at", "n")).alias("gone"))
+        found.withColumn("least", F.min(start).over(Window.partitionBy("h1", "h2"))).where(F.expr("code > 4294967295") | (start > F.col("least")))
+        .groupBy("row").agg(F.collect_list(F.struct("id", "code")).alias("gone"))
     )
-    done = map_batches(first.join(removed, "row", "left").select("k1", "k2", "id", "text", "gone"), cutter(texts), "k1 long, k2 long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
+    done = map_batches(first.join(removed, "row", "left").select(*DOCUMENT, "gone"), cutter(texts), "k1 long, k2 long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * texts)
     done = classes.join(done, ["k1", "k2"])
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)
     out = members.join(done, ["k1", "k2"]).select(
