@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.operators import cleaning, marketing, measures, rfm, sales
+from tillsight.operators import cleaning, marketing, measures, quality, rfm, sales
 from tillsight.plans.registry import named_queries
 from tillsight.sources.star import Between
 from tillsight.sources.tables import open_raw_star, open_star
@@ -82,6 +82,16 @@ def test_each_answer_scans_the_lines_once(spark, folder):
     assert line_scans(cleaning.reconcile_cleaning(open_raw_star(spark, folder))) == 1
 
 
+def test_checks_scan_the_lines_at_most_twice(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert line_scans(quality.validate_all(open_raw_star(spark, folder))) == 1
+        assert line_scans(quality.quality_checks(open_star(spark, folder))) <= 2
+        assert line_scans(quality.constraint_violations(open_raw_star(spark, folder))) <= 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_category_answer_needs_no_shuffle_by_order_after_the_order_join(spark, folder):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
