@@ -20,7 +20,7 @@ from tillsight.llm import bpe
 from tillsight.llm.common import add_columns, sha256, whole
 from tillsight.llm.token_counts import merger
 
-CACHED_PRE_TOKENS = 1 << 18  # entries of a worker's cache, emptied when full
+CACHED_PRE_TOKENS = 1 << 17  # entries of a worker's cache, emptied when full
 
 
 class Encoder:

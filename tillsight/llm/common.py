@@ -34,9 +34,11 @@ def map_batches(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterat
     """mapInArrow whose workers find this package where the driver has it.
 
     On a cluster the package is installed or sent with --py-files; the path matters where
-    the driver merely has it on sys.path.
+    the driver merely has it on sys.path. Batches are kept to 8 MB in this session: each is
+    held several times over, by the executor and by its Python worker.
     """
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     return df.mapInArrow(task, schema)
 
 
@@ -71,7 +73,7 @@ def arrow_type(sql: str) -> pa.DataType:
     return {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}[sql]
 
 
-def pieces(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about `size` bytes; a longer row is a slice of its own."""
     rows = max(1, batch.num_rows)
     step = max(1, rows * size // max(size, batch.nbytes))

@@ -97,9 +97,14 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
 
 
 def sketch(measured: DataFrame) -> DataFrame:
-    """(lang, source, measure, bin, n): the sketches of all groups, from documents with a word."""
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES]))
-    values = measured.where("n_words > 0").select("lang", "source", each.alias("m")).select("lang", "source", "m.measure", "m.value")
+    """(lang, source, measure, bin, n): the sketches of all groups, from documents with a word.
+
+    Documents without one give an empty list. A filter would be pushed down to the scan
+    with all of the measures in it, and they would be worked out twice.
+    """
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in MEASURES])
+    each = F.explode(F.when(F.col("n_words") > 0, pairs))
+    values = measured.select("lang", "source", each.alias("m")).select("lang", "source", "m.measure", "m.value")
     shift = "(length(bin(value)) - 5)"
     binned = values.withColumn("bin", F.expr(f"case when value < 32 then value else 16 + {shift} * 16 + shiftright(value, cast({shift} as int)) - 16 end").cast("int"))
     return binned.groupBy("lang", "source", "measure", "bin").agg(F.count("*").alias("n"))
@@ -138,12 +143,15 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     """measured with `kept`: false if a base rule fails or a measure is beyond its group's threshold."""
     limits = limits.withColumnsRenamed({"lang": "__lang", "source": "__source"})
     joined = measured.join(limits, measured["lang"].eqNullSafe(limits["__lang"]) & measured["source"].eqNullSafe(limits["__source"]), "left")
-    tests = [~F.col("base_failed")]
+    tests = []
     for name, (_, below) in MEASURES.items():
         tests.append(F.coalesce(F.col(name) <= F.col(f"{name}_most"), F.lit(True)))
         if below is not None:
             tests.append(F.coalesce(F.col(name) >= F.col(f"{name}_least"), F.lit(True)))
-    return joined.select(*[F.col(f"`{c}`") for c in measured.columns], reduce(lambda a, b: a & b, tests).alias("kept"))
+    # One expression over both sides of the join: parts of it would be pushed below and worked out twice.
+    within = reduce(lambda a, b: a & b, tests)
+    kept = F.when(F.col("base_failed"), False).otherwise(within)
+    return joined.select(*[F.col(f"`{c}`") for c in measured.columns], kept.alias("kept"))
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from tillsight.llm import bpe
 from tillsight.llm.common import add_columns, whole
 
-CACHED_PRE_TOKENS = 1 << 18  # entries of a worker's cache, emptied when full
+CACHED_PRE_TOKENS = 1 << 17  # entries of a worker's cache, emptied when full
 NONE = np.iinfo(np.int64).max
 
 
