@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import add_columns, map_batches
+from tillsight.llm.common import add_columns, map_batches, most_frequent
 
 ORDER = 3
 SAMPLE = 400  # documents of a language that are learned from, about
@@ -133,12 +133,12 @@ def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from about `sample` documents of each language in docs (doc_id, lang, text)."""
     labelled = docs.where("lang is not null and text is not null")
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    counts = {r[0]: r[1] for r in most_frequent(labelled.groupBy("lang").count(), LANGUAGES, "count").collect()}
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample / n))]) if counts else F.create_map().cast("map<string,double>")
     luck = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     chosen = labelled.where(luck < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text")
     counted = map_batches(chosen, grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = counted.orderBy(F.desc("n"), "lang", "gram").limit(GRAMS).toPandas()
+    found = most_frequent(counted, GRAMS).toPandas().sort_values(["lang", "gram"])
     languages = sorted(found["lang"].unique().tolist())
     number = {lang: i for i, lang in enumerate(languages)}
     return build(languages, found["lang"].map(number).to_numpy(np.int64), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.int64))

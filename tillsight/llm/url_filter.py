@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import add_columns, save
+from tillsight.llm.common import add_columns, most_frequent, save
 
 # The rules (host, path, verdict).
 RULES = (
@@ -105,7 +105,7 @@ def word_counts(pages: DataFrame) -> dict[str, int]:
     """The most frequent words of the pages' text."""
     text = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), r"<[^>]*>|&\w+;", " "))
     words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{2,{LONGEST}}})"), F.lit(1))).alias("w"))
-    return {r.w: r.n for r in words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(WORDS).collect()}
+    return {r.w: r.n for r in most_frequent(words.groupBy("w").agg(F.count("*").alias("n")), WORDS).collect()}
 
 
 def weights(labelled: DataFrame) -> tuple[float, dict[str, float]]:
@@ -115,7 +115,7 @@ def weights(labelled: DataFrame) -> tuple[float, dict[str, float]]:
         return -math.inf, {}
     blocked = F.col("label") == "block"
     tokens = labelled.select("label", F.explode("tokens").alias("t")).groupBy("t").agg(F.count_if(blocked).alias("block"), F.count_if(~blocked).alias("allow"))
-    rows = tokens.orderBy(F.desc(F.col("block") + F.col("allow")), "t").limit(TOKENS).collect()
+    rows = most_frequent(tokens.withColumn("n", F.col("block") + F.col("allow")), TOKENS).collect()
     block, allow = sum(r.block for r in rows) + len(rows) + 1, sum(r.allow for r in rows) + len(rows) + 1
     prior = math.log((shares.get("block", 0) + 1) / (shares.get("allow", 0) + 1))
     return prior, {r.t: math.log((r.block + 1) / block * allow / (r.allow + 1)) for r in rows}
