@@ -72,7 +72,10 @@ def places(sizes: np.ndarray) -> np.ndarray:
 
 
 def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents -> (key, row, code): an anchor's hash, its document, its place * 2 and 1 more where it is known to occur again."""
+    """Documents -> (key, code, row): an anchor's hash, its place * 2 and 1 more where it is known to occur again, its document.
+
+    What differs from row to row stands in front, what repeats behind: the shuffle compresses that best.
+    """
     for batch in batches:
         for piece in pieces(batch, PIECE):
             words, sizes = hashed(piece)
@@ -85,11 +88,11 @@ def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             again = np.ones(len(keys), bool)
             again[first] = False
             keys[again] = combined(np.stack([rows, at], 1).view(np.uint64).reshape(-1), 2 * np.flatnonzero(again), 2, FACTORS[1])
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, rows, at * 2 + known)], names=["key", "row", "code"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys, at * 2 + known, rows)], names=["key", "code", "row"])
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with `codes` of anchors -> (h1, h2, id, row, code): windows around anchors that occur again.
+    """Documents with `codes` of anchors -> (h1, h2, code, id, row): windows around anchors that occur again.
 
     code: place + length * 2**32. Length 0 is a window that is the first of its hash in this
     batch; otherwise so many windows in a row start earlier here.
@@ -120,8 +123,8 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h1, h2, ids, rows, at, known = (c[lead] for c in (h1, h2, ids, rows, at, known))
             h1[known] = rows[known] ^ (at[known] * 0x9E3779B97F4A7C1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in (h1, h2, ids, rows, at + (n << 32))],
-                names=["h1", "h2", "id", "row", "code"],
+                [pa.array(c) for c in (h1, h2, at + (n << 32), ids, rows)],
+                names=["h1", "h2", "code", "id", "row"],
             )
 
 
@@ -166,11 +169,11 @@ def repeated_substrings(docs: DataFrame, text: str = "text", texts: bool = True)
 
     again = Window.partitionBy("key")
     repeated = (
-        map_batches(first, anchors, "key long, row long, code long")
+        map_batches(first, anchors, "key long, code long, row long")
         .withColumn("known", F.max(F.col("code") % 2).over(again) + F.count("*").over(again)).where("known > 1")
         .groupBy("row").agg(F.collect_list("code").alias("codes"))
     )
-    found = map_batches(first.join(repeated, "row").select(*DOCUMENT, "codes"), windows, "h1 long, h2 long, id long, row long, code long")
+    found = map_batches(first.join(repeated, "row").select(*DOCUMENT, "codes"), windows, "h1 long, h2 long, code long, id long, row long")
     start = F.struct("id", F.expr("code & 4294967295").alias("at"))
     removed = (
         found.withColumn("least", F.min(start).over(Window.partitionBy("h1", "h2"))).where(F.expr("code > 4294967295") | (start > F.col("least")))
