@@ -160,12 +160,15 @@ def forest(homes: np.ndarray, members: np.ndarray, threshold: int) -> list[tuple
 
 
 def classified(prints: DataFrame, threshold: int = 3) -> DataFrame:
-    """(fp, component_id) for every fingerprint in prints (doc_id, fp, ...)."""
+    """(fp, component_id) for every fingerprint in prints (doc_id, fp, ...).
+
+    Written, so that joining a hot fingerprint's documents to it can be split or broadcast.
+    """
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = save(components(links(classes, threshold)))
     linked = roots.join(classes, roots.node == classes.fp).select("node", "root", "least_id")
     named = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("component")), "root").select(F.col("node").alias("fp"), "component")
-    return classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least_id").alias("component_id"))
+    return save(classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least_id").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
