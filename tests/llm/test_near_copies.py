@@ -1,0 +1,78 @@
+"""The pipeline's near-dedup stage against all pairs, compared one by one."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+import pytest
+
+from tillsight.llm import near_copies, simhash
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept_ids(rows):
+    """The smallest id of each component of all pairs at 0.8 or more."""
+    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= 0.8:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return sorted(min(d for (d, _), x in zip(rows, label) if x == c) for c in set(label))
+
+
+def copies(seed=3):
+    """Texts with copies of which a growing number of words are others, chains of copies, and templates."""
+    dice = random.Random(seed)
+    some = lambda n: [dice.choice("abcdefgh") + str(dice.randrange(5000)) for _ in range(n)]
+    texts = []
+    for n in (12, 60, 200, 1500):
+        base = some(n)
+        texts.append(base)
+        for changed in (1, 2, 4, 6, 9):
+            copy = list(base)
+            for at in dice.sample(range(n), min(n, max(1, n * changed // 200))):
+                copy[at] = "else"
+            texts += [copy, some(n // 20) + base]
+    chain = some(300)
+    for _ in range(12):
+        chain = chain[8:] + some(8)
+        texts.append(chain)
+    form = some(100)
+    texts += [form + some(60) for _ in range(25)]
+    dice.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_all_near_copies_go(spark, monkeypatch, rounds):
+    monkeypatch.setattr(near_copies, "ROUNDS", rounds)
+    rows = copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in near_copies.drop_near_copies(docs).collect()) == kept_ids(rows)
+
+
+def test_the_stage_drops_copies_beyond_three_bits(spark):
+    dice = random.Random(4)
+    words = [str(dice.randrange(9000)) for _ in range(400)]
+    other = [w if i % 60 else "else" for i, w in enumerate(words)]
+    texts = " ".join(words), " ".join(other)
+    assert similarity(*map(shingles, texts)) >= 0.8
+    assert (simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[1])).bit_count() > 3
+    docs = spark.createDataFrame([(0, texts[0]), (1, texts[1]), (2, "another text")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [0, 2]
+
+
+def test_odd_and_empty_tables(docs, no_docs, odd):
+    kept = near_copies.drop_near_copies(docs)
+    assert kept.columns == docs.columns and near_copies.drop_near_copies(no_docs).count() == 0
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(kept_ids([(r[0], r[1]) for r in odd if r[0] is not None])))

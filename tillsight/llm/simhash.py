@@ -165,7 +165,12 @@ def classified(prints: DataFrame, threshold: int = 3) -> DataFrame:
     Written, so that joining a hot fingerprint's documents to it can be split or broadcast.
     """
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = save(components(links(classes, threshold)))
+    return joined(classes, links(classes, threshold))
+
+
+def joined(classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(fp, component_id) for every class (fp, least_id), joined by links (a, b)."""
+    roots = save(components(linked))
     linked = roots.join(classes, roots.node == classes.fp).select("node", "root", "least_id")
     named = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("component")), "root").select(F.col("node").alias("fp"), "component")
     return save(classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least_id").alias("component_id")))
@@ -185,9 +190,15 @@ def drop_near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
     """
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     prints = save(fingerprints(docs.withColumn("__row", row), keep=["doc_id", "__row"]))
+    return one_of_each(docs, prints, classified(prints, threshold))
+
+
+def one_of_each(docs: DataFrame, prints: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows that drop_near_duplicates keeps; prints: (doc_id, __row, fp), classes: (fp, component_id)."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     choice = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     winners = (
-        prints.join(classified(prints, threshold), "fp")
+        prints.join(classes, "fp")
         .withColumn("__class", F.when(F.col("component_id").isNull(), F.col("fp")))
         .groupBy("component_id", "__class").agg(F.min(choice).alias("w"))
         .select(F.col("w.__row").alias("__row"), F.col("w.doc_id").alias("__id"))
