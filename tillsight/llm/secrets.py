@@ -4,7 +4,9 @@ Three fixed patterns give the base spans. Beyond them, every long run of token c
 a candidate; a window slides over it, keeps the counts of its characters and the sum of
 c * log2(c) incrementally, and windows whose Shannon entropy reaches the threshold of the
 candidate's character class are joined to `entropy` spans. Candidates on the allow list
-(UUIDs, web addresses, repeated alphabets) are passed over; base spans always stay.
+(UUIDs, host and path of web addresses, repeated alphabets) are passed over; base spans always
+stay. User info, query and fragment of an address are scanned like any other text. An address
+ends before quotes, commas, brackets, braces, other marks that paths rarely have, and non-ASCII.
 
 Offsets are code points, end exclusive. Defined cases: a null or empty text has no spans; rows
 are independent, so repeated rows give equal results; a column named like a result is replaced.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -49,7 +52,8 @@ ALLOWED = (
     r"(?:[A-Za-z]{1,15}|[0-9]{1,6})(?:[-_/=+](?:[A-Za-z]{1,15}|[0-9]{1,6}))*",  # words and numbers, joined
     r"0123456789.*|.*ABCDEFGHIJKLMNOPQRSTUVWXYZ.*|.*abcdefghijklmnopqrstuvwxyz.*",  # alphabets
 )
-ADDRESS = re.compile(r"https?://\S{0,2000}$")
+# A web address up to its path; the group is its user info.
+ADDRESS = re.compile(r"""https?://([^\s/?#@"'<>]*@)?[A-Za-z0-9._-]+(?::[0-9]+)?(?:/[A-Za-z0-9._~%/:@+=-]*)?""")
 
 
 @dataclass(frozen=True)
@@ -71,13 +75,16 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def entropy_spans(text: str, rules: Rules) -> list[tuple[int, int, str]]:
     """(start, end, "entropy") of the joined windows of high entropy."""
     allowed = re.compile("|".join(f"(?:{p})" for p in rules.allowed), re.DOTALL) if rules.allowed else None
-    found = []
+    found, addresses = [], None
     for m in CANDIDATE.finditer(text):
         candidate = m[0]
         least = next(bits for pattern, bits in CLASSES if pattern.fullmatch(candidate))
         if least == math.inf or (allowed and allowed.fullmatch(candidate)):
             continue
-        if ADDRESS.search(text, max(0, m.start() - 2000), m.start()):
+        if addresses is None:
+            addresses = [(a.end(1) if a[1] else a.start(), a.end()) for a in ADDRESS.finditer(text)]
+        at = bisect(addresses, (m.start(), len(text) + 1)) - 1
+        if at >= 0 and m.end() <= addresses[at][1]:
             continue
         found += [(m.start() + a, m.start() + b, "entropy") for a, b in dense(candidate, rules.window, least)]
     return found
