@@ -29,4 +29,4 @@ def test_registered_queries():
     assert set(queries.queries()) <= set(registered) and registered["pipeline"] is corpus_pipeline.run
     assert set(queries.oracle_sql()) <= set(contract.oracle_sql())
     numbers = [q.split("_")[0] for q in queries.queries()]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import bpe_codec, chat, decontamination, langid, quality_rules, secrets, simhash, substring_dedup, token_counts, url_filter
+from tillsight.llm import bpe_codec, chat, decontamination, langid, quality_classifier, quality_rules, secrets, simhash, substring_dedup, token_counts, url_filter, vector_codes, whitening
 from tillsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,18 @@ def url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, folder, "pages"))
 
 
+def compressed_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, folder, "embeddings"))
+
+
+def passage_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_adaptive_quality": adaptive_quality,
@@ -67,8 +79,11 @@ def queries() -> dict[str, Query]:
         "op8_chat_formatting": chat_digests,
         "op9_language_id": language_id,
         "op10_url_filters": url_filters,
+        "op11_vector_codes": compressed_vectors,
+        "op12_quality_classifier": passage_quality,
+        "op13_embedding_whitening": whitened_embeddings,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_formatting": chat.digests_sql()}
+    return {"op8_chat_formatting": chat.digests_sql(), "op11_vector_codes": vector_codes.codes_sql()}
