@@ -1,11 +1,16 @@
-"""A corpus pipeline over documents: each stage works on all rows its predecessor kept."""
+"""A corpus pipeline over documents: each stage works on all rows its predecessor kept.
+
+Defined cases are those of the operators: null and empty texts fail the quality rules and go; repeated
+rows leave one; an empty table passes through as one; extra columns stay, and a column named like a
+result of the last stage is replaced there.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import bpe_codec, decontamination, near_copies, quality_rules, secrets
+from tillsight.llm import bpe_codec, decontamination, quality_rules, secrets, simhash
 from tillsight.llm.common import save, table
 from tillsight.llm.queries import VOCABULARY
 
@@ -21,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose 5-word shingles are similar to 0.8 or more."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group stays whose fingerprints link at three bits or fewer, as in the query of operator 5."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +41,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with its columns."""
-    return bpe_codec.encode_documents(docs, VOCABULARY)
+    """Token ids of every text, with its columns, and whether decoding the ids gives the text back."""
+    return bpe_codec.encode_documents(docs, VOCABULARY, decoded=True)
 
 
 STAGES = [

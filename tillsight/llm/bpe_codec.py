@@ -93,14 +93,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """docs with `ids` (array of int) and `n_tokens`."""
+def encode_documents(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
+    """docs with `ids` (array of int) and `n_tokens`; if asked, also `round_trip`, whether the decoded ids are the text."""
 
     def work(texts: list[str]) -> dict[str, list]:
-        packed = encoder(path).encode(texts)
-        return {"ids": [np.frombuffer(p, "<u4").astype("i4") for p in packed], "n_tokens": [len(p) // 4 for p in packed]}
+        codec = encoder(path)
+        packed = codec.encode(texts)
+        made = {"ids": [np.frombuffer(p, "<u4").astype("i4") for p in packed], "n_tokens": [len(p) // 4 for p in packed]}
+        return made | ({"round_trip": [codec.decode(p) == t for p, t in zip(packed, texts)]} if decoded else {})
 
-    return add_columns(docs, whole(text), {"ids": "array<int>", "n_tokens": "long"}, work, keep)
+    fields = {"ids": "array<int>", "n_tokens": "long"} | ({"round_trip": "boolean"} if decoded else {})
+    return add_columns(docs, whole(text), fields, work, keep)
 
 
 def encode_digests(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

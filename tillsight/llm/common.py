@@ -109,8 +109,14 @@ _folders: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder of this application under spark.checkpoint.dir, or, where that is unset, under the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A folder of this application under spark.checkpoint.dir, or, where that is unset, under the warehouse.
+
+    On a cluster the warehouse must then be on shared storage: what is written to a local disk is not there for others.
+    """
+    set_, base = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir")
+    if not set_ and not spark.sparkContext.master.startswith("local") and base.partition(":")[0] in ("file", base):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = set_ or base
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-llm"
 
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import add_columns, map_batches, save, whole, without
@@ -183,26 +183,26 @@ def near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
     return named.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_digest(docs: DataFrame) -> Column:
+    """128 bits of a row's columns and of which of them are null, which Spark's hash passes over."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    nulls = F.array(*[c.isNull() for c in columns])
+    return F.struct(F.xxhash64(nulls, *columns).alias("a"), F.xxhash64(F.lit(1), nulls, *columns).alias("b"))
+
+
 def drop_near_duplicates(docs: DataFrame, threshold: int = 3) -> DataFrame:
-    """docs with one row of each component: that of its smallest doc_id, ties by the row's hash, then any of equal rows.
+    """docs with one row of each component: that of its smallest doc_id, ties by the row's digest, then any of equal rows.
 
     Rows without doc_id stay only if their component has no row with one.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    prints = save(fingerprints(docs.withColumn("__row", row), keep=["doc_id", "__row"]))
-    return one_of_each(docs, prints, classified(prints, threshold))
-
-
-def one_of_each(docs: DataFrame, prints: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows that drop_near_duplicates keeps; prints: (doc_id, __row, fp), classes: (fp, component_id)."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.withColumn("__row", row_digest(docs))
+    prints = save(fingerprints(named, keep=["doc_id", "__row"]))
     choice = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
     winners = (
-        prints.join(classes, "fp")
+        prints.join(classified(prints, threshold), "fp")
         .withColumn("__class", F.when(F.col("component_id").isNull(), F.col("fp")))
         .groupBy("component_id", "__class").agg(F.min(choice).alias("w"))
         .select(F.col("w.__row").alias("__row"), F.col("w.doc_id").alias("__id"))
     )
-    named = docs.withColumn("__row", row)
     kept = named.join(winners, (named["__row"] == winners["__row"]) & named["doc_id"].eqNullSafe(winners["__id"]), "left_semi")
     return kept.dropDuplicates(["__row", "doc_id"]).select(*[F.col(f"`{c}`") for c in without(docs, [])])
