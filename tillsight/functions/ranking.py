@@ -12,46 +12,77 @@ BUCKETS = 5
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number within a partition in its low 33 bits
 
 
-def quintile_last_rank(bucket: int, n: Column) -> Column:
-    """Last rank in a bucket when ranks 1..n are cut at equal quantiles; one row alone is bucket 1."""
-    return F.lit(1) + F.call_function("div", F.lit(bucket) * (n - 1), F.lit(BUCKETS))
+def quintile_last_rank(bucket: int, n: str) -> str:
+    """Last rank in a bucket when ranks 1..n are cut at equal quantiles; one row alone is bucket 1. In SQL, as n is."""
+    return f"(1 + ({bucket} * ({n} - 1)) div {BUCKETS})"
 
 
-def ntile_last_rank(bucket: int, n: Column) -> Column:
-    """Last rank in a bucket of NTILE, which gives the larger buckets to the lowest ranks."""
-    return F.lit(bucket) * F.call_function("div", n, F.lit(BUCKETS)) + F.least(F.lit(bucket), n % BUCKETS)
+def ntile_last_rank(bucket: int, n: str) -> str:
+    """Last rank in a bucket of NTILE, which gives the larger buckets to the lowest ranks. In SQL, as n is."""
+    return f"({bucket} * ({n} div {BUCKETS}) + least({bucket}, {n} % {BUCKETS}))"
 
 
-Edges = dict[str, list[tuple]]
+ACCURACY = 10_000  # of the sketches: a quantile is off by at most one row in so many
+MARGIN = 5 / ACCURACY  # share of the rows that is looked at on either side of an edge
 
 
-def bucket_edges(rows: DataFrame, id_column: str, metrics: list[str],
-                 last_rank: Callable[[int, Column], Column]) -> Edges:
-    """For each bigint metric, the (value, id) of the last row in buckets 1 to 4.
+def _placed(rows: DataFrame, id_column: str) -> DataFrame:
+    """rows with ``place``, a number from 0 to 1 that never falls as the id rises."""
+    if rows.schema[id_column].dataType.typeName() != "string":
+        number = F.col(id_column).cast("double")
+        return rows.withColumn("place", 0.5 + F.signum(number) * F.log2(F.abs(number) + 1) / 128)
+    # The first six bytes after what all ids begin with.
+    ends = rows.agg(F.struct(F.min(id_column).alias("least"), F.max(id_column).alias("most"))).scalar()
+    first = lambda end, i: F.col(f"ends.{end}").substr(F.lit(1), i)
+    alike = F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("ends.least"))), lambda i: first("least", i) == first("most", i)))
+    rest = F.hex(F.encode(F.col(id_column).substr(F.col("alike") + 1, F.lit(6)), "UTF-8"))
+    return rows.withColumn("ends", ends).withColumn("alike", alike).withColumn("place", F.conv(F.rpad(rest, 12, "0"), 16, 10).cast("double") / 2.0**48)
 
-    Rows are ranked by (value, id). All metrics are range-sorted together, in one
-    shuffle; ids make every key unique, so a value shared by most rows still
-    spreads over many partitions. Only partition sizes are summed afterwards.
-    The sorted keys are checkpointed, because a range partitioning computed
-    twice need not put a row in the same place. Four pairs per metric come back
-    to the driver, to be compared with as constants.
+
+def bucket_edges(rows: DataFrame, id_column: str, metrics: list[str], last_rank: Callable[[int, str], str]) -> Column:
+    """A one-row subquery: for each bigint metric, the (value, id) of the last row in buckets 1 to 4.
+
+    Rows are ranked by (value, id), a null value first, without being sorted. Value and place of the id together
+    give a number; a mergeable quantile sketch of it brackets every edge by two numbers with a sure margin. Rows
+    below a bracket are only counted, where they are. Rows in a bracket, one in a thousand beside those of equal
+    numbers, are ranked exactly by their value and id. Fewer than ACCURACY rows are all in every bracket.
+    Fields of the result: ``m0e1`` is edge 1 of metric 0; null without rows.
     """
-    shared_folder(rows.sparkSession)
-    keys = rows.select(
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("metric"), F.col(m).cast("bigint").alias("value"))
-            for i, m in enumerate(metrics)
-        ])).alias("key"),
-        F.col(id_column).alias("id"),
-    ).select("key.metric", "key.value", "id")
-    placed = numbered(keys, ["metric", "value", "id"], "rank")
-    n = F.call_function("div", placed.agg(F.count(F.lit(1))).scalar(), F.lit(len(metrics)))
-    ranked = placed.withColumn("n", n).withColumn("rank", F.col("rank") - F.col("metric") * F.col("n"))
-    last = F.array(*[last_rank(b, F.col("n")) for b in range(1, BUCKETS)])
-    found = ranked.filter(F.array_contains(last, F.col("rank"))).select("metric", "value", "id", F.explode(
-        F.filter(F.transform(last, lambda x, i: F.when(x == F.col("rank"), i)), lambda i: i.isNotNull())
-    ).alias("edge")).orderBy("metric", "edge").collect()
-    return {m: [(r["value"], r["id"]) for r in found if r["metric"] == i] for i, m in enumerate(metrics)}
+    # Every reader takes all metrics and the id from the rows, so that they can share one shuffle of them.
+    # Expressions are SQL text: hundreds of small column objects would cost more than the query.
+    positions, edges = range(len(metrics)), range(1, BUCKETS)
+    placed = _placed(rows.selectExpr(f"{id_column} AS id", *[f"{_ranked(m)} AS v{i}" for i, m in enumerate(metrics)]), "id")
+    own = placed.selectExpr("id", *[f"v{i}" for i in positions], *[f"CAST(v{i} AS DOUBLE) + place AS x{i}" for i in positions])
+    shares = ", ".join(f"{b / BUCKETS + side * MARGIN:.6f}D" for b in edges for side in (-1, 1))
+    quantiles = ", ".join(f"'q{i}', percentile_approx(x{i}, array({shares}), {ACCURACY})" for i in positions)
+    sketches = own.selectExpr(f"named_struct('n', count(1), {quantiles})").scalar()
+    sides = ", ".join(
+        f"named_struct('metric', {i}, 'edge', {b}, 'v', v{i}, 'below', sketches.n >= {ACCURACY} AND x{i} < get(sketches.q{i}, {2 * b - 2}), "
+        f"'above', sketches.n >= {ACCURACY} AND x{i} > get(sketches.q{i}, {2 * b - 1}))" for i in positions for b in edges)
+    near = own.withColumn("sketches", sketches).selectExpr("id", "sketches.n AS rows", f"inline(array({sides}))").filter("NOT above")
+    counted = near.selectExpr("metric", "edge", "rows", "below", "CASE WHEN NOT below THEN v END AS v", "CASE WHEN NOT below THEN id END AS id") \
+        .groupBy("metric", "edge", "rows", "below", "v", "id").agg(F.count(F.lit(1)).alias("n"))
+    upto = "sum(n) OVER (PARTITION BY metric, edge ORDER BY below DESC, v, id ROWS UNBOUNDED PRECEDING) AS upto"
+    rank = "CASE edge " + " ".join(f"WHEN {b} THEN {last_rank(b, 'rows')}" for b in edges) + " END"
+    met = counted.selectExpr("*", upto).filter(f"upto >= {rank} AND upto - n < {rank}")
+    fields = ", ".join(f"'m{i}e{b}', max(CASE WHEN metric = {i} AND edge = {b} THEN named_struct('v', v, 'id', id) END)" for i in positions for b in edges)
+    found = met.selectExpr(f"named_struct({fields}) AS edges", f"max(below) OR count(1) < {len(metrics) * (BUCKETS - 1)} AND count(1) > 0 AS missed")
+    return found.selectExpr("CASE WHEN missed THEN raise_error('a rank lies outside its bracket') ELSE edges END AS edges").scalar()
+
+
+def _ranked(metric: str) -> str:
+    return f"coalesce(CAST({metric} AS BIGINT), -9223372036854775808)"
+
+
+def bucket_of(metric: int, value: str, id_column: str, edges: str) -> Column:
+    """Bucket 1..5 of a row: one more than the number of edges its (value, id) lies beyond.
+
+    ``metric`` is the position of the column ``value`` in what :func:`bucket_edges` was given, ``edges`` the
+    column that holds its result.
+    """
+    own = _ranked(value)
+    beyond = [f"CASE WHEN {own} > {edge}.v OR ({own} = {edge}.v AND {id_column} > {edge}.id) THEN 1 ELSE 0 END" for edge in (f"{edges}.m{metric}e{e}" for e in range(1, BUCKETS))]
+    return F.expr(" + ".join(["1", *beyond]))
 
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -71,16 +102,6 @@ def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     return placed.join(F.broadcast(starts), "part").select(*rows.columns, number.alias(name))
 
 
-def bucket_of(metric: str, id_column: str, edges: Edges) -> Column:
-    """Bucket 1..5 of a row: one more than the number of edges its (value, id) lies beyond."""
-    bucket = F.lit(1)
-    value = F.col(metric).cast("bigint")
-    for edge_value, edge_id in edges[metric]:
-        beyond = (value > edge_value) | ((value == edge_value) & (F.col(id_column) > F.lit(edge_id)))
-        bucket = bucket + F.when(beyond, 1).otherwise(0)
-    return bucket
-
-
 DIGIT_BITS = 21  # three digits cover a bigint
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.money import money, pct, pct2, ratio, rounded, wide_sum
 from tillsight.functions.ranking import bucket_edges, bucket_of, ntile_last_rank, quintile_last_rank
-from tillsight.sources.session import shared_folder
 from tillsight.sources.star import Star
 
 # Segment labels in their report order.
@@ -45,44 +44,54 @@ def at_risk() -> Column:
 
 
 def _customers(star: Star) -> DataFrame:
-    """Last order date, distinct orders and net revenue in cents per customer, null customer included."""
+    """Last order date, distinct orders and net revenue in cents per customer, null customer included.
+
+    ``lines`` is zero for the null customer alone.
+    """
     per_order = star.sales("customer_id", "order_id", "order_date", "monetary") \
         .groupBy("customer_id", "order_id").agg(
-            F.max("order_date").alias("order_date"), F.sum("monetary").alias("monetary"))
+            F.count("customer_id").alias("lines"), F.max("order_date").alias("order_date"), F.sum("monetary").alias("monetary"))
     return per_order.groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"),
         F.count("order_id").alias("frequency"),
         F.sum("monetary").alias("monetary"),
+        F.sum("lines").alias("lines"),
     )
 
 
 def _with_recency(customers: DataFrame) -> DataFrame:
-    analysis_date = customers.agg(F.max("last_order_date")).scalar()
-    return customers.filter(F.col("customer_id").isNotNull()).withColumn("analysis_date", analysis_date) \
+    """Customers but the null one, with the last date of all.
+
+    The date is the maximum of whole rows, and the null customer goes by its number of lines: every reader then
+    needs the same columns and filters of the customers, and Spark shuffles them once for all.
+    """
+    latest = customers.agg(F.max(F.struct("last_order_date", "frequency", "monetary", "lines"))["last_order_date"]).scalar()
+    return customers.filter("lines > 0").withColumn("analysis_date", latest) \
         .withColumn("recency_days", F.datediff("analysis_date", "last_order_date"))
 
 
 def rfm_base(star: Star) -> DataFrame:
     """Recency, frequency and monetary value of every buyer."""
-    return _with_recency(_reduced_customers(star)).select(
+    return _with_recency(_customers(star)).select(
         "customer_id", "last_order_date", "frequency", money("monetary").alias("monetary"), "recency_days")
 
 
-def _reduced_customers(star: Star) -> DataFrame:
-    """Customers kept in the checkpoint folder: what follows reads them several times, the fact only once."""
-    shared_folder(star.spark)
-    return _customers(star).checkpoint()
+def _scored(star: Star, last_rank: Callable[[int, str], str], recency_key: str) -> DataFrame:
+    metrics = ["recency_key", "frequency", "monetary"]
+    keyed = _customers(star).withColumn("recency_key", F.expr(recency_key).cast("bigint"))
+    edges = bucket_edges(keyed.filter("lines > 0"), "customer_id", metrics, last_rank)
+    return _with_recency(keyed).withColumn("edges", edges).withColumns({
+        name: bucket_of(i, metric, "customer_id", "edges") for i, (name, metric) in enumerate(zip(("r_bucket", "f_score", "m_score"), metrics))})
 
 
-def _scored(star: Star, last_rank: Callable[[int, Column], Column], recency_key: str) -> DataFrame:
-    customers = _with_recency(_reduced_customers(star)) \
-        .withColumn("recency_key", F.expr(recency_key).cast("bigint"))
-    edges = bucket_edges(customers, "customer_id", ["recency_key", "frequency", "monetary"], last_rank)
-    return customers.withColumns({
-        "r_bucket": bucket_of("recency_key", "customer_id", edges),
-        "f_score": bucket_of("frequency", "customer_id", edges),
-        "m_score": bucket_of("monetary", "customer_id", edges),
-    })
+def _known(star: Star, scored: DataFrame, *columns: str) -> DataFrame:
+    """Scored customers that are in the dimension, with columns of it.
+
+    Keys are compared null-safe: a plain comparison would push a filter on the key below the customers' shuffle
+    in this reader alone.
+    """
+    known = star.dim_customer.select(F.col("customer_id").alias("known"), *columns)
+    return scored.join(known, F.col("customer_id").eqNullSafe(F.col("known"))).drop("known")
 
 
 def quintile_scores(star: Star) -> DataFrame:
@@ -138,7 +147,7 @@ def all_customers(star: Star) -> DataFrame:
     no dimension, and customers that match no buyer are the non-buyers.
     """
     buyers = quintile_scores(star).withColumn("has_purchase", F.lit(1))
-    analysis_date = buyers.agg(F.max("analysis_date")).scalar()
+    analysis_date = _customers(star).agg(F.max(F.struct("last_order_date", "frequency", "monetary", "lines"))["last_order_date"]).scalar()
     joined = buyers.drop("analysis_date").join(star.dim_customer.select("customer_id", *ATTRIBUTES),
                                                "customer_id", "full")
     joined = joined.withColumns({
@@ -154,7 +163,7 @@ def all_customers(star: Star) -> DataFrame:
 
 
 def with_segments(star: Star) -> Star:
-    """The star with each customer's segment as a dimension of its sales. Scoring runs at once."""
+    """The star with each customer's segment as a dimension of its sales."""
     segments = all_customers(star).select("customer_id", "segment")
     return star.with_tables(customer_rfm=lambda: segments)
 
@@ -166,8 +175,7 @@ def rfm_all_customers(star: Star) -> DataFrame:
 
 def rfm_scores_ntile(star: Star) -> DataFrame:
     """Buyers known to the customer dimension with NTILE scores, attributes and segment."""
-    scored = ntile_scores(star).join(
-        star.dim_customer.select("customer_id", "customer_segment", "region"), "customer_id")
+    scored = _known(star, ntile_scores(star), "customer_segment", "region")
     return scored.select(
         "customer_id", "customer_segment", "region", "recency_days", "frequency",
         money("monetary").alias("monetary"), "r_score", "f_score", "m_score",
@@ -177,8 +185,7 @@ def rfm_scores_ntile(star: Star) -> DataFrame:
 
 def customers_at_risk(star: Star) -> DataFrame:
     """Valuable customers with low recency scores, by value."""
-    scored = ntile_scores(star).filter(at_risk()).join(
-        star.dim_customer.select("customer_id", "customer_segment", "region"), "customer_id")
+    scored = _known(star, ntile_scores(star).filter(at_risk()), "customer_segment", "region")
     return scored.select(
         "customer_id", "customer_segment", "region", "recency_days", "frequency",
         money("monetary").alias("monetary"), "r_score", "f_score", "m_score",
