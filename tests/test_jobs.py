@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from stars import by, line, star, two_lines
 from test_quality import dirty
-from tillsight.operators import quality
+from tillsight.operators import loading, quality
 from tillsight.plans import jobs, registry as contract
+from tillsight.sources import versions
 from tillsight.sources.calendar import calendar_spine, period_bounds, period_calendar, period_days
-from tillsight.sources.star import COLUMNS, NULL_TOKENS, open_parquet_star, read_star, write_star
+from tillsight.sources.star import COLUMNS, NULL_TOKENS, TABLES, open_parquet_star, read_star, write_star
 from tillsight.sources.tables import open_star
 
 PERIOD = (date(2000, 1, 1), 18)
@@ -106,7 +107,7 @@ def test_segment_export(spark, folder, tmp_path):
 def test_load_and_verify(spark, folder, tmp_path):
     loaded, checks = jobs.load_and_verify(open_star(spark, folder), str(tmp_path / "db"))
     assert checks.filter("NOT passed").count() == 0 and checks.count() == 19
-    months = (tmp_path / "db" / "fact_sales").glob("year_month=*")
+    months = (Path(versions.current(spark, str(tmp_path / "db"))) / "fact_sales").glob("year_month=*")
     assert len(list(months)) == 80
 
 
@@ -120,8 +121,44 @@ def test_calendar(spark):
     assert calendar_spine(one).agg(F.count("*")).first()[0] == 3
 
 
-def test_nothing_is_left_but_the_target(spark, folder, tmp_path):
-    for _ in range(2):
-        contract.named_queries()["load_star_counts"](spark, folder).collect()
-    target = Path(spark.conf.get("spark.checkpoint.dir"))
-    assert sorted(p.name for p in target.glob("star-*")) in (["star-counted"], ["star-counted", "star-loaded"])
+def channels(spark, name: str):
+    return two_lines(spark).with_tables(dim_channel=lambda: spark.createDataFrame([(1, name, "Paid")], TABLES["dim_channel"]))
+
+
+def test_two_loads_and_one_that_fails(spark, tmp_path):
+    """Readers of a version keep it, new readers get the last whole one, a failing load changes nothing."""
+    folder = str(tmp_path / "db")
+    name = lambda table: table.dim_channel.first().channel_name
+    first = loading.load_star(channels(spark, "one"), folder)
+    opened = open_parquet_star(spark, folder)
+    broken = channels(spark, "broken").with_tables(fact_marketing=lambda: spark.range(1).select(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception):
+        loading.load_star(broken, folder)
+    assert name(open_parquet_star(spark, folder)) == "one" and len(versions.published(spark, folder)) == 1
+    second = loading.load_star(channels(spark, "two"), folder)
+    assert [name(t) for t in (first, opened, second, open_parquet_star(spark, folder))] == ["one", "one", "two", "two"]
+    assert first.fact_sales.count() == 2  # built only now, from its own version
+    assert versions.drop_old(spark, folder) == versions.published(spark, folder)[:1]
+    assert name(open_parquet_star(spark, folder)) == "two" and versions.drop_old(spark, folder) == []
+
+
+def test_loads_at_the_same_time(spark, tmp_path):
+    folder = str(tmp_path / "db")
+
+    def outer(path: str) -> str:
+        inner, _ = versions.publish(spark, folder, lambda other: spark.range(3).write.parquet(other))
+        spark.range(5).write.parquet(path)
+        return inner
+
+    path, inner = versions.publish(spark, folder, outer)
+    assert [spark.read.parquet(p).count() for p in (path, inner, versions.current(spark, folder))] == [5, 3, 5]
+
+
+def test_queries_that_load_keep_apart(spark, folder):
+    query = contract.named_queries()["load_star_counts"]
+    one, two = query(spark, folder), query(spark, folder)
+    assert sorted(one.collect()) == sorted(two.collect())
+    exports = [contract.named_queries()["rfm_export"](spark, folder) for _ in range(2)]
+    assert [e.count() for e in exports] == [150, 150]
+    assert exports[0].inputFiles() != exports[1].inputFiles()
+    assert all(spark.sparkContext.applicationId in f for f in exports[0].inputFiles())

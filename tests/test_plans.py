@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.operators import cleaning, marketing, measures, quality, rfm, sales
+from tillsight.plans import findings, pages
 from tillsight.plans.registry import named_queries
 from tillsight.sources.star import Between
 from tillsight.sources.tables import open_raw_star, open_star
@@ -115,6 +116,27 @@ def test_checks_scan_the_lines_at_most_twice(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_scans_of_reports(spark, folder):
+    """Lines once where one pass does, twice for all findings; the orders are joined once, beside the calendar made of them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = open_star(spark, folder)
+        orphans = sales.orphan_sales_rows(whole)
+        assert line_scans(orphans) == 1
+        assert len(re.findall(r"FileScan parquet \[o_orderkey", final_plan(orphans))) == 1
+        assert line_scans(findings.findings_report(whole)) == 2
+        assert line_scans(pages.ops_alerts(whole)) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_validation_shuffles_digests_and_keys(spark, folder):
+    text = plan(quality.validate_all(open_raw_star(spark, folder)))
+    grouped = [k for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text) if "digest_1" in k]
+    assert grouped and all(re.findall(r"(\w+)#", k) == ["digest_1", "digest_2", "customer_id", "product_id", "channel_id", "failed"] for k in grouped)
+    assert not re.search(r"hashpartitioning\([^)]*refund_amount", text)
+
+
 def test_category_answer_needs_no_shuffle_by_order_after_the_order_join(spark, folder):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

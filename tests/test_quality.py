@@ -200,3 +200,9 @@ def test_seed_keeps_existing_rows(spark):
     once = loading.seed_rows(existing, seed, "channel_id")
     assert {tuple(r) for r in once.collect()} == {(1, "Mine", "X"), (2, "New", "Z")}
     assert loading.seed_rows(once, seed, "channel_id").count() == 2
+
+
+def test_digests_tell_rows_apart_that_differ_in_where_a_null_is(spark):
+    rows = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (1, 1, None), (1, None, "a"), (None, None, None)], "a bigint, b bigint, c string")
+    found = quality.grouped_rows(rows.select(*quality.row_digests(rows, rows.columns)), "digest_1", "digest_2").collect()
+    assert sorted(r.copies for r in found) == [1, 1, 1, 2] and len({r.digest_1 for r in found} | {r.digest_2 for r in found}) == 8

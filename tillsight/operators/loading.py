@@ -7,19 +7,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.functions.ranking import numbered
-from tillsight.sources.session import shared_folder
+from tillsight.sources.session import scratch_folder
 from tillsight.sources.star import TABLES, Star, open_parquet_star, write_star
 from tillsight.sources.tables import channel_rows
+from tillsight.sources.versions import publish
 
 
 def load_star(star: Star, folder: str | None = None) -> Star:
-    """Rebuild the six tables under ``folder`` (overwriting) and open them.
+    """Build the six tables anew under ``folder``, publish them as its current version and open that version.
 
-    Without a folder, a fixed one in the cluster's shared checkpoint folder.
+    A load that fails leaves the last version current; loads at the same time do not touch each other, and what
+    this one returns stays itself whatever is loaded later. Without a folder the tables go with the application.
     """
-    folder = folder or f"{shared_folder(star.spark)}/star-loaded"
-    write_star(star, folder)
-    return open_parquet_star(star.spark, folder)
+    folder = folder or f"{scratch_folder(star.spark)}/star-loaded"
+    path, _ = publish(star.spark, folder, lambda path: write_star(star, path))
+    return open_parquet_star(star.spark, path)
 
 
 def table_counts(star: Star) -> DataFrame:
@@ -33,7 +35,7 @@ def table_counts(star: Star) -> DataFrame:
 
 def load_star_counts(star: Star) -> DataFrame:
     """Load the star, then count what the tables hold."""
-    return table_counts(load_star(star, f"{shared_folder(star.spark)}/star-counted"))
+    return table_counts(load_star(star))
 
 
 def seed_rows(existing: DataFrame, seed: DataFrame, key: str) -> DataFrame:

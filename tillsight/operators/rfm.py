@@ -48,9 +48,9 @@ def _customers(star: Star) -> DataFrame:
 
     ``lines`` is zero for the null customer alone.
     """
-    per_order = star.sales("customer_id", "order_id", "order_date", "monetary") \
-        .groupBy("customer_id", "order_id").agg(
-            F.count("customer_id").alias("lines"), F.max("order_date").alias("order_date"), F.sum("monetary").alias("monetary"))
+    orders = star.table("order_grain") if star.has("order_grain") else star.sales("customer_id", "order_id", "order_date", "monetary")
+    per_order = orders.groupBy("customer_id", "order_id").agg(
+        F.count("customer_id").alias("lines"), F.max("order_date").alias("order_date"), F.sum("monetary").alias("monetary"))
     return per_order.groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"),
         F.count("order_id").alias("frequency"),

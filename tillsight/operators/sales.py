@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.economics import year_month
 from tillsight.functions.money import money, money_per, pct, pct2, ratio, wide_sum
+from tillsight.sources.session import shared
 from tillsight.sources.star import COLUMNS, Star
 
 MARGIN_UNITS = 10**8  # a line margin is kept as a whole number of 1e-8, so its mean is order-independent
@@ -19,13 +20,18 @@ def order_totals(star: Star, keys: list[str], sums: list[str], how: str = "inner
     absorbs a hot group or a hot order before the shuffle, and one shuffle serves
     every distinct count.
     """
-    inputs = list(dict.fromkeys([*keys, "order_id", "returned_flag", *sums]))
-    lines = star.sales(*inputs, how=how, where=where, where_columns=where_columns)
-    per_order = lines.groupBy(*keys, "order_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.max(F.when(F.col("order_id").isNotNull(), F.col("returned_flag"))).alias("returned"),
-        *[F.sum(c).alias(c) for c in sums],
-    )
+    if star.has("order_grain") and how == "inner" and where is None and {*keys} <= ORDER_KEYS and {*sums} <= {*ORDER_SUMS}:
+        orders = star.table("order_grain").withColumn("month_start", F.trunc("order_date", "MM"))
+        per_order = orders.groupBy(*keys, "order_id").agg(
+            F.sum("lines").alias("lines"), F.max("returned").alias("returned"), *[F.sum(c).alias(c) for c in sums])
+    else:
+        inputs = list(dict.fromkeys([*keys, "order_id", "returned_flag", *sums]))
+        lines = star.sales(*inputs, how=how, where=where, where_columns=where_columns)
+        per_order = lines.groupBy(*keys, "order_id").agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.max(F.when(F.col("order_id").isNotNull(), F.col("returned_flag"))).alias("returned"),
+            *[F.sum(c).alias(c) for c in sums],
+        )
     return per_order.groupBy(*keys).agg(
         F.sum("lines").alias("lines"),
         F.count("order_id").alias("orders"),
@@ -34,12 +40,54 @@ def order_totals(star: Star, keys: list[str], sums: list[str], how: str = "inner
     )
 
 
+ORDER_KEYS = frozenset({"customer_id", "channel_id", "order_date", "month_start"})
+ORDER_SUMS = ("revenue", "gross_profit", "monetary")
+PRODUCT_SUMS = ("quantity", "revenue", "gross_profit", "returned_flag", "refund_amount")
+
+
+def rolled_up(star: Star) -> Star:
+    """The star with its sales reduced once to orders and once to products, for a report of many answers.
+
+    What is summed by month, channel or customer then starts from one row per order, what is summed by product,
+    category or overall from one row per product, and the lines are read twice however many answers there are.
+    """
+    orders = star.sales("order_id", "customer_id", "channel_id", "order_date", "returned_flag", *ORDER_SUMS) \
+        .groupBy("order_id", "customer_id", "channel_id", "order_date").agg(
+            F.count(F.lit(1)).alias("lines"), F.max(F.when(F.col("order_id").isNotNull(), F.col("returned_flag"))).alias("returned"),
+            *[F.sum(c).alias(c) for c in ORDER_SUMS])
+    return star.with_tables(order_grain=lambda: shared(orders, "order_id"), product_grain=lambda: shared(product_grain(star), "product_id", joined=True))
+
+
+def product_grain(star: Star) -> DataFrame:
+    """One row per product, that of null included: lines, sums, and line margins with and without discount.
+
+    Alone, a reader gets only the sums it takes: Spark leaves out the others, down to the scan.
+    """
+    if star.has("product_grain"):
+        return star.table("product_grain")
+    margin = _line_margin().cast("decimal(19,0)")
+    known = (F.col("list_amount") > 0) & (F.col("revenue") > 0)
+    by_sign = {"with_discount": F.col("discount_amount") > 0, "without_discount": F.col("discount_amount") == 0}
+    return star.sales("product_id", "list_amount", "discount_amount", "shipping_revenue", "shipping_cost", *PRODUCT_SUMS).groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("lines"), *[F.sum(c).alias(c) for c in PRODUCT_SUMS],
+        F.sum(F.col("shipping_revenue") - F.col("shipping_cost")).alias("net_shipping"),
+        *[F.sum(F.when(known & test, margin)).alias(name) for name, test in by_sign.items()],
+        *[F.count(F.when(known & test, margin)).alias(f"{name}_lines") for name, test in by_sign.items()])
+
+
 def product_totals(star: Star, sums: tuple[str, ...] = ("quantity", "revenue", "gross_profit")) -> DataFrame:
     """Sums per product, then name and category: products are joined once each, not once per line."""
-    totals = star.sales("product_id", *sums).groupBy("product_id").agg(*[F.sum(c).alias(c) for c in sums])
+    totals = product_grain(star).select("product_id", *sums)
     return totals.join(star.dim_product.select("product_id", "product_name", "category"), "product_id")
 
 
+def category_sums(star: Star) -> DataFrame:
+    """Lines and sums per category, from product sums."""
+    sums = ("revenue", "gross_profit", "returned_flag", "refund_amount")
+    products = product_grain(star).select("product_id", "lines", *sums).join(star.dim_product.select("product_id", "category"), "product_id")
+    return products.groupBy("category").agg(F.sum("lines").alias("lines"), *[wide_sum(c).alias(c) for c in sums])
+
+
 # --- line level -----------------------------------------------------------------------------------
 
 def sales_enriched(star: Star) -> DataFrame:
@@ -71,20 +119,24 @@ def line_discount_margin(star: Star) -> DataFrame:
 
 
 def orphan_sales_rows(star: Star) -> DataFrame:
-    """Lines whose customer, product, channel or date is in no dimension, one row per missing link."""
-    links = (
-        ("customer", "customer_id", star.dim_customer.select("customer_id")),
-        ("product", "product_id", star.dim_product.select("product_id")),
-        ("channel", "channel_id", star.dim_channel.select("channel_id")),
-        ("date", "order_date", star.dim_date.select(F.col("date").alias("order_date"))),
-    )
-    found = None
-    for name, key, parent in links:
-        columns = list(dict.fromkeys(["order_id", "product_id", key]))
-        rows = star.sales(*columns).join(parent, key, "left_anti").select(
-            F.lit(name).alias("missing"), "order_id", "product_id", F.col(key).cast("string").alias("key_value"))
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    """Lines whose customer, product, channel or date is in no dimension, one row per missing link.
+
+    All links of a line are looked up in one pass over the lines; a null key is missing too.
+    """
+    links = {
+        "channel": ("channel_id", star.dim_channel, "channel_id"),
+        "date": ("order_date", star.dim_date, "date"),
+        "product": ("product_id", star.dim_product, "product_id"),
+        "customer": ("customer_id", star.dim_customer, "customer_id"),
+    }
+    lines = star.sales("order_id", "product_id", "customer_id", "channel_id", "order_date")
+    for name, (key, parent, parent_key) in links.items():
+        known = parent.select(F.col(parent_key).alias(f"known_{name}")).distinct()
+        lines = lines.join(known, F.col(key) == F.col(f"known_{name}"), "left")
+    missing = F.array_compact(F.array(*[
+        F.when(F.col(f"known_{name}").isNull(), F.struct(F.lit(name).alias("missing"), F.col(key).cast("string").alias("key_value")))
+        for name, (key, _, _) in links.items()]))
+    return lines.select("order_id", "product_id", F.explode(missing).alias("link")).select("link.missing", "order_id", "product_id", "link.key_value")
 
 
 # --- months ---------------------------------------------------------------------------------------
@@ -260,12 +312,7 @@ def returns_by_category(star: Star) -> DataFrame:
 
 def returns_by_category_line(star: Star) -> DataFrame:
     """Line-level returns by category, unrounded."""
-    sums = ("returned_flag", "refund_amount", "revenue")
-    per_product = star.sales("product_id", *sums).groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("lines"), *[F.sum(c).alias(c) for c in sums])
-    per_category = per_product.join(star.dim_product.select("product_id", "category"), "product_id") \
-        .groupBy("category").agg(F.sum("lines").alias("lines"), *[wide_sum(c).alias(c) for c in sums])
-    return per_category.select(
+    return category_sums(star).select(
         "category", "lines",
         F.col("returned_flag").cast("bigint").alias("returned_lines"),
         money("refund_amount").alias("total_refund"),
@@ -300,8 +347,11 @@ def line_margins(star: Star, *columns: str) -> DataFrame:
     """``columns`` and the margin of each line in 1e-8; null unless revenue is positive."""
     lines = star.sales(*dict.fromkeys([*columns, "list_amount", "revenue", "gross_profit"]),
                        where=F.col("list_amount") > 0)
-    margin = F.expr(f"CASE WHEN revenue > 0 THEN (CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div revenue END")
-    return lines.select(*columns, margin.alias("margin"))
+    return lines.select(*columns, _line_margin().alias("margin"))
+
+
+def _line_margin() -> Column:
+    return F.expr(f"CASE WHEN revenue > 0 THEN (CAST(gross_profit AS DECIMAL(38,0)) * {MARGIN_UNITS}) div revenue END")
 
 
 def mean_margin_pct(margin_sum: str, margin_count: str) -> Column:

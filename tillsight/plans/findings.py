@@ -26,7 +26,7 @@ def finding_totals(star: Star) -> DataFrame:
 def finding_loss_categories(star: Star, named: str = NAMED_CATEGORY) -> DataFrame:
     """Categories that lose money, the most profitable one and one named category."""
     everything = Window.partitionBy()  # one row per category
-    categories = sales.category_totals(star)
+    categories = sales.category_sums(star)
     best = F.max_by("category", F.struct("gross_profit", "category")).over(everything)
     roles = F.array_compact(F.array(
         F.when(F.col("gross_profit") < 0, "loss"),
@@ -91,23 +91,17 @@ def finding_worst_return_category(star: Star) -> DataFrame:
 
 def finding_discount_gap(star: Star) -> DataFrame:
     """Mean line margin with and without discount, and which is lower."""
-    margins = sales.line_margins(star, "discount_amount").groupBy(F.signum("discount_amount").alias("sign")).agg(
-        F.sum(F.col("margin").cast("decimal(19,0)")).alias("total"), F.count("margin").alias("n"))
-
-    def mean(sign: int) -> Column:
-        return F.max(F.when(F.col("sign") == sign, sales.mean_margin_pct("total", "n")))
-
+    sides = ("with_discount", "without_discount")
+    margins = sales.product_grain(star).agg(*[wide_sum(c).alias(c) for side in sides for c in (side, f"{side}_lines")])
     gap = F.col("without_discount_pct") - F.col("with_discount_pct")
-    return margins.agg(mean(1).alias("with_discount_pct"), mean(0).alias("without_discount_pct")).select(
+    return margins.select(*[sales.mean_margin_pct(side, f"{side}_lines").alias(f"{side}_pct") for side in sides]).select(
         "with_discount_pct", "without_discount_pct", gap.alias("gap_points"),
         F.when(gap > 0, LOWER).otherwise(HIGHER).alias("discounted_margin_is"))
 
 
 def finding_net_shipping(star: Star) -> DataFrame:
     """Shipping revenue less shipping cost, and whether that is a loss."""
-    per_channel = star.sales("channel_id", "shipping_revenue", "shipping_cost").groupBy("channel_id").agg(
-        F.sum(F.col("shipping_revenue") - F.col("shipping_cost")).alias("net"))
-    return per_channel.agg(wide_sum("net").alias("net")).select(
+    return sales.product_grain(star).agg(wide_sum("net_shipping").alias("net")).select(
         money("net").alias("net_shipping"), F.when(F.col("net") < 0, LOSS).otherwise(GAIN).alias("outcome"))
 
 
@@ -129,7 +123,8 @@ def finding_segments(star: Star) -> DataFrame:
 
 
 def findings_report(star: Star) -> DataFrame:
-    """Every finding as (finding, metric, value, label)."""
+    """Every finding as (finding, metric, value, label), from two passes over the lines."""
+    star = sales.rolled_up(star)
     found = {
         "totals": finding_totals(star),
         "loss_categories": finding_loss_categories(star).withColumn(

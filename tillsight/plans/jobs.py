@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tillsight.operators import cleaning, loading, quality, rfm
 from tillsight.plans.registry import named_queries
 from tillsight.sources.star import Star, read_star, typed, write_star
-from tillsight.sources.session import shared_folder
+from tillsight.sources.versions import publish
 
 # Report file names and the query behind each.
 REPORTS = {
@@ -62,19 +62,20 @@ def clean_raw_files(spark: SparkSession, raw_folder: str, out: str, period: qual
     """Validate six raw CSV files, clean them, validate what was written and publish it.
 
     The clean tables are computed once, into a staging folder. While a critical
-    rule fails there, nothing under ``out`` is touched. ``options`` go to the CSV reader.
+    rule fails there, nothing under ``out`` is touched; then all six are published
+    together as the current version of ``out``. ``options`` go to the CSV reader.
     """
     text = read_star(spark, raw_folder, raw=True, **options)
     raw = text.with_tables(**{n: (lambda n=n: typed(text.table(n), n)) for n in text.tables()})
     before = quality.validate_all(text, period)
-    staged = loading.load_star(cleaning.clean_star(raw), f"{shared_folder(spark)}/clean-staging")
+    staged = loading.load_star(cleaning.clean_star(raw))
     after = quality.require_unblocked(staged, period)
-    written = write_star(staged, out, fmt)
+    _, written = publish(spark, out, lambda path: write_star(staged, path, fmt))
     return CleanResult(staged, written, before, after, cleaning.cleaning_log(raw), cleaning.reconcile_revenue(raw, staged))
 
 
 def load_and_verify(star: Star, folder: str) -> tuple[Star, DataFrame]:
-    """Rebuild the tables under ``folder`` and compare them with their source."""
+    """Load the tables into a new version of ``folder`` and compare them with their source."""
     loaded = loading.load_star(star, folder)
     return loaded, quality.load_verification(star, loaded)
 

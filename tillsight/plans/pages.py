@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillsight.functions.money import money, pct, pct2, ratio
 from tillsight.operators import marketing, rfm, sales
 from tillsight.operators.measures import measures, sliced_marketing
+from tillsight.sources.session import shared
 from tillsight.sources.star import Between, Slicers, Star, slicer_test
 
 
@@ -122,10 +123,8 @@ def ops_discount(star: Star, slicers: Slicers | None = None) -> DataFrame:
 
 def ops_alerts(star: Star, slicers: Slicers | None = None) -> DataFrame:
     """Products that lose money or whose order return rate reaches the rate over all products."""
-    totals = sales.order_totals(star.sliced(slicers), ["product_id"], ["revenue", "gross_profit"])
-    # All columns of the totals take part, so that both readers of the totals share one shuffle.
-    overall = totals.agg(F.struct(*[
-        F.sum(c).alias(c) for c in ("orders", "returned_orders", "revenue", "gross_profit")])).scalar()
+    totals = shared(sales.order_totals(star.sliced(slicers), ["product_id"], ["revenue", "gross_profit"]), "product_id", joined=True)
+    overall = totals.agg(F.struct(*[F.sum(c).alias(c) for c in ("orders", "returned_orders")])).scalar()
     flagged = totals.withColumn("all", overall).withColumns({
         "negative_margin": F.col("gross_profit") < 0,
         "high_return": F.col("returned_orders") * F.col("all.orders")

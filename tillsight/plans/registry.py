@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tillsight.operators import cleaning, loading, marketing, measures, quality, rfm, sales
 from tillsight.plans import findings, pages
 from tillsight.sources.star import Star
-from tillsight.sources.session import shared_folder
+from tillsight.sources.session import scratch_folder
 from tillsight.sources.tables import open_raw_star, open_star
+from tillsight.sources.versions import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,8 +99,7 @@ CLEAN: dict[str, Callable[[Star], DataFrame]] = {
 
 def _exported(star: Star) -> DataFrame:
     """The customer segments as written to a file and read back."""
-    path = f"{shared_folder(star.spark)}/customer_rfm"
-    rfm.rfm_all_customers(star).write.mode("overwrite").parquet(path)
+    path, _ = publish(star.spark, f"{scratch_folder(star.spark)}/customer_rfm", rfm.rfm_all_customers(star).write.parquet)
     return star.spark.read.parquet(path)
 
 

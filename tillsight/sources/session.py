@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # AQE splits a hot join key by itself. Forcing the split matters where a join on
 # order_id feeds a grouping that starts with order_id: there the split costs one
@@ -36,3 +38,34 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+_scratch: set[str] = set()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder of this application in the shared one, for tables without a place of their own. It goes with the application."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _scratch:
+        _scratch.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped yet
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shared(rows: DataFrame, key: str, joined: bool = False) -> DataFrame:
+    """rows shuffled by ``key`` in such a way that all readers in a query use the same shuffle.
+
+    Spark shuffles once for several readers only if they ask for the same columns under the same filters. Rows are
+    packed here, and what each reader needs is picked behind the shuffle: no column is pruned and no filter is
+    pushed before it in one reader alone. Grouping by ``key`` needs no other shuffle. Where readers join by the key,
+    which would push a filter on it, ``joined`` takes the key from the packed row too, at the price of that.
+    """
+    columns = [c for c in rows.columns if joined or c != key]
+    packed = rows.select(F.col(key).alias("by"), F.array(F.struct(*columns)).alias("row")).repartition("by")
+    return packed.selectExpr("inline(row)") if joined else packed.selectExpr(f"by AS {key}", "inline(row)")

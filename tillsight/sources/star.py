@@ -12,6 +12,7 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tillsight.functions.economics import DERIVED
+from tillsight.sources.versions import current
 
 # Types of the six tables; `cents` columns are bigint here and decimals in CSV.
 TABLES: dict[str, str] = {
@@ -52,6 +53,8 @@ SALES_DIMENSIONS: dict[str, tuple[str, tuple[str, ...]]] = {
     "customer_rfm": ("customer_id", ("segment",)),  # not one of the six: see rfm.with_segments
 }
 
+ROLLED = ("order_grain", "product_grain")  # tables that a star has beside the six while one report shares them
+
 
 @dataclass(frozen=True)
 class Between:
@@ -108,6 +111,9 @@ class Star:
     fact_sales = property(lambda self: self.table("fact_sales"))
     fact_marketing = property(lambda self: self.table("fact_marketing"))
 
+    def has(self, name: str) -> bool:
+        return name in self._tables
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
@@ -117,8 +123,12 @@ class Star:
         return Star(self.spark, {**self._tables, **tables}, narrow, self.slicers)
 
     def sliced(self, slicers: Slicers | None) -> Star:
-        """Copy whose :meth:`sales` hold only what the slicers let through; its tables are the same."""
-        return Star(self.spark, self._tables, self.narrow, {**self.slicers, **(slicers or {})}) if slicers else self
+        """Copy whose :meth:`sales` hold only what the slicers let through; its tables are the same.
+
+        Reductions of all sales, see ``sales.rolled_up``, do not come along.
+        """
+        tables = {name: table for name, table in self._tables.items() if name not in ROLLED}
+        return Star(self.spark, tables, self.narrow, {**self.slicers, **(slicers or {})}) if slicers else self
 
     def sales(self, *columns: str, how: str = "inner", where: Column | None = None,
               where_columns: Iterable[str] = ()) -> DataFrame:
@@ -151,8 +161,9 @@ def read_star(spark: SparkSession, folder: str, raw: bool = False, **options) ->
     Columns are found by their names, in any order; others are ignored, a missing
     one is an error. ``options`` go to the reader: ``multiLine=True`` reads line
     breaks inside quotes, at the price of not splitting a file. Without it a
-    record with one is broken, and reading fails.
+    record with one is broken, and reading fails. Of tables published by version the current ones are read.
     """
+    folder = current(spark, folder)
     return Star(spark, {name: partial(_read_csv, spark, f"{folder}/{name}.csv", name, raw, options) for name in TABLES})
 
 
@@ -217,7 +228,9 @@ def write_star(star: Star, folder: str, fmt: str = "parquet") -> dict[str, int]:
 
 
 def open_parquet_star(spark: SparkSession, folder: str) -> Star:
-    """Tables written by :func:`write_star`."""
+    """Tables written by :func:`write_star`; of published ones the current version, also if another follows later."""
+    folder = current(spark, folder)
+
     def read(name: str) -> DataFrame:
         rows = spark.read.parquet(f"{folder}/{name}")
         return rows.drop("year_month") if name == "fact_sales" else rows
