@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+from collections import Counter
 
 import brute
 import duckdb
@@ -380,10 +383,85 @@ def test_url_rules(spark, folder):
     assert url_filter.url_verdicts(odd.limit(0)).count() == 0
 
 
-def test_segments():
-    split = url_filter.Segmenter.learn({"the": 900, "cat": 50, "sat": 60, "thecat": 1, "s": 9}).split
-    assert split("thecatsat") == ["the", "cat", "sat"] and split("zzcatq") == ["zz", "cat", "q"]
-    assert split("cheapspam") == ["cheap", "spam"] and split("") == []
+def plain_split(name, counts):
+    """All words of least total cost, tried one by one."""
+    total = sum(counts.values())
+    best = [(0.0, [])]
+    for end in range(1, len(name) + 1):
+        tries = [(best[end - 1][0] + math.log(total) + 5, best[end - 1][1] + [(end - 1, end, False)])]
+        tries += [(best[a][0] + math.log(total / counts[name[a:end]]), best[a][1] + [(a, end, True)]) for a in range(max(0, end - url_filter.LONGEST), end) if name[a:end] in counts]
+        best.append(min(tries, key=lambda x: x[0]))
+    words = []
+    for a, b, known in best[-1][1]:
+        if words and not known and not words[-1][1]:
+            words[-1] = (words[-1][0] + name[a:b], False)
+        else:
+            words.append((name[a:b], known))
+    return [w for w, _ in words]
+
+
+def plain_verdicts(rows):
+    """url -> (blocked, score) of (url, html) rows: dictionary, splits and Bayes over positive and unlabelled addresses."""
+    counts = Counter()
+    for _, html in rows:
+        counts.update(w for w in re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>|&\w+;", " ", html or "").lower()) if 2 <= len(w) <= url_filter.LONGEST)
+    seed = max(1, sum(counts.values()) // 10_000)
+    for w in url_filter.BLOCK_FORMS:
+        counts[w] = max(seed, counts[w])
+    tokens = {}
+    for url, _ in rows:
+        host, path, _, _ = plain_rule(url)
+        parts = re.findall(r"[^\W\d_]+|\d+", f"{host} {path}".lower())
+        tokens[url] = [t for part in parts for t in (["#"] if part[0].isdigit() else plain_split(part, counts))]
+    listed = {u: bool({*t} & {*url_filter.BLOCK_FORMS}) for u, t in tokens.items()}
+    block, every = Counter(), Counter()
+    for url, _ in rows:
+        every.update(tokens[url])
+        block.update(tokens[url] * listed[url])
+    n, m = sum(block.values()), sum(every.values())
+    blocked = sum(listed[u] for u, _ in rows)
+    prior = math.log((blocked + 1) / (len(rows) - blocked + 1)) if blocked else -1
+    s = url_filter.SMOOTH
+    odds = {t: math.log((block[t] + s * c / m) / (n + s)) - math.log((c - block[t] + s * c / m) / (m - n + s)) for t, c in every.items()} if blocked else {}
+    return {u: prior + sum(odds.get(x, 0) for x in t) for u, t in tokens.items()}
+
+
+def test_url_verdicts_equal_a_plain_classifier(spark, folder):
+    """Every page's score and verdict; equal addresses with other texts; words only in listed hosts, and hosts of rare names."""
+    given_pages = [(r.page_id, r.url, r.html) for r in table(spark, folder, "pages").collect()]
+    odd = [(-1, "http://cheappills.example.net/x", None), (-2, "http://cheappills.example.net/x", "<p>cheap words here</p>"), (-3, None, "x"), (-3, "http://", None), (-4, "http://zzqqzz.example.net/en/1", ""), (-5, "https://free-loans.example.net/99", "&amp;")]
+    for rows_ in (given_pages, given_pages + odd):
+        frame = spark.createDataFrame(rows_, "page_id long, url string, html string").repartition(3)
+        plain = plain_verdicts([(u, h) for _, u, h in rows_])
+        scores = {plain_rule(u)[:2]: s for u, s in plain.items()}
+        for r in url_filter.url_verdicts(frame).collect():
+            _, _, rule, ruled = plain_rule(f"http://{r.host}{r.path}")
+            score = scores[r.host, r.path]
+            assert r.verdict == (ruled or ("block" if score > 0 else "allow")) and (r.block_score is None) == (rule is not None)
+            assert rule is not None or abs(r.block_score - score) < 1e-4
+            bad = any(w in r.host for w in ("casino", "pills", "bets", "adult", "spam", "loans"))
+            assert rule is not None or (r.verdict == "block") == bad
+
+
+def test_url_tables_have_no_bound(spark):
+    """More different words than any table of the operator could be expected to hold at once: all of them count."""
+    letters = "abcdefghij"
+    name = lambda i: "".join(letters[int(d)] for d in f"{i:05d}")
+    rows_ = [(i, f"http://{name(i)}{name(i + 1)}.example.net/", f"<p>{name(i)} {name(i + 1)} {'q' * 60}</p>") for i in range(0, 60000, 2)]
+    frame = spark.createDataFrame(rows_, "page_id long, url string, html string").repartition(8)
+    words, _ = url_filter.dictionary(frame)
+    assert words.count() == 60000 + len(url_filter.BLOCK_FORMS)
+    runs = frame.select(F.regexp_extract("url", "//([a-z]+)", 1).alias("run"))
+    assert url_filter.splits(runs, words, 10**6).where("size(tokens) = 2").count() == 30000
+
+
+def test_segments(spark):
+    words = spark.createDataFrame([("the", 900), ("cat", 50), ("sat", 60), ("thecat", 1), ("cheap", 1), ("spam", 1)], "word string, n long")
+    runs = ["thecatsat", "zzcatq", "cheapspam", "x", "thé"]
+    found = {r.run: r.tokens for r in url_filter.splits(spark.createDataFrame([(r,) for r in runs], "run string"), words, 1013).collect()}
+    assert found == {"thecatsat": ["the", "cat", "sat"], "zzcatq": ["zz", "cat", "q"], "cheapspam": ["cheap", "spam"], "x": ["x"], "thé": ["thé"]}
+    counts = {r.word: r.n for r in words.collect()}
+    assert all(plain_split(r, counts) == t for r, t in found.items())
 
 
 def test_every_code_point_is_classified_as_the_library_does():
