@@ -326,6 +326,20 @@ def test_language_of_odd_rows(docs, no_docs, odd):
     assert {r.lang_pred for r in langid.language_verdicts(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("cells", [1 << 24, 3000, 1])
+def test_every_language_is_learned(spark, monkeypatch, cells):
+    """257 languages of like frequency, whatever the number of tables they share."""
+    monkeypatch.setattr(langid, "CELLS", cells)
+    dice, letters = random.Random(9), [chr(c) for c in range(0x3B1, 0x3C9)]
+    names = [f"l{i:03d}" for i in range(257)]
+    own = {name: ["".join(dice.choices(letters, k=4)) for _ in range(3)] for name in names}
+    texts = [(i * len(names) + k, " ".join(dice.choices(own[name], k=12)), name) for i in range(3) for k, name in enumerate(names)]
+    model = langid.learn(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    assert model.languages == names and (len(model.tables) == 1) == (cells == 1 << 24) and (len(model.tables) == 257) == (cells == 1)
+    found = model.predict([t for _, t, _ in texts])["lang_pred"]
+    assert np.mean([f == lang for f, (_, _, lang) in zip(found, texts)]) > 0.99
+
+
 def test_code_length_by_escapes():
     """Costs from the table against a direct walk down the contexts."""
     texts = {"x": "abcabcabd", "y": "bbbbacab"}

@@ -85,24 +85,6 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def most_frequent(counted: DataFrame, most: int, n: str = "n") -> DataFrame:
-    """The rows of counted with the highest counts, at most `most`, for models of a bounded size.
-
-    The least count is found from a histogram with eight steps between powers of two, so the
-    driver gets a few hundred numbers and then the chosen rows, never a list from every task.
-    Counts of one step stay or go together.
-    """
-    counted = save(counted)
-    step = F.floor(F.log2(F.col(n)) * 8).cast("int")
-    steps = sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True)
-    least, total = None, 0
-    for at, rows in steps:
-        if total + rows > most:
-            break
-        least, total = at, total + rows
-    return counted.where(F.lit(False) if least is None else step >= least)
-
-
 # ---- intermediate tables ----------------------------------------------------------------
 
 _folders: set[str] = set()

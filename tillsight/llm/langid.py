@@ -8,8 +8,11 @@ depends on its context alone and all costs are worked out once: a text's exact c
 every language is a sum of table rows. The language with the shortest code wins.
 
 Learning takes a bounded sample: about SAMPLE documents of each language, chosen by the hash of
-their id, whole texts. The model keeps the most frequent contexts, so that the table has at most
-CELLS costs however many languages there are. Prediction reads every whole text.
+their id among those of at most LONGEST characters, whole texts. Everything in the sample counts:
+every language that has a document there stays, with all of its contexts. Languages are put into
+groups whose tables have at most CELLS costs each (a language that needs more is a group of its
+own), so that the tables grow with the languages and not with their square. Prediction reads
+every whole text.
 
 Defined cases: a null text, a text without a letter, or any text where nothing was learned is
 `und` with score 0; ties go to the language first in alphabetical order; rows without language
@@ -27,13 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import add_columns, map_batches, most_frequent
+from tillsight.llm.common import add_columns, map_batches
 
 ORDER = 3
 SAMPLE = 400  # documents of a language that are learned from, about
-LANGUAGES = 256  # most languages of a model
-GRAMS = 400_000  # most sequences of four bytes that are collected
-CELLS = 1 << 24  # most costs in the table
+LONGEST = 1 << 20  # characters of the longest text that is learned from
+CELLS = 1 << 24  # costs in the table of several languages, about
 CHUNK = 1 << 20  # bytes that are scored together
 
 
@@ -59,7 +61,7 @@ def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass(frozen=True)
-class Model:
+class Table:
     """languages; alphabet: byte -> symbol; node: three symbols -> row; cost: (row, symbol, language) in bits."""
 
     languages: list[str]
@@ -79,29 +81,43 @@ class Model:
                 total[row] += self.cost[self.node[context], part[3:]].sum(0, dtype=np.float64)
         return total
 
+
+@dataclass(frozen=True)
+class Model:
+    """The tables of all groups of languages."""
+
+    tables: list[Table]
+
+    @property
+    def languages(self) -> list[str]:
+        return [lang for t in self.tables for lang in t.languages]
+
+    def lengths(self, texts: list[str]) -> np.ndarray:
+        return np.concatenate([t.lengths(texts) for t in self.tables], 1)
+
     def predict(self, texts: list[str]) -> dict[str, list]:
         lettered = [any(map(str.isalpha, t)) for t in texts]
-        if not self.languages:
+        languages = self.languages
+        if not languages:
             return {"lang_pred": ["und"] * len(texts), "score": [0.0] * len(texts)}
         bits = self.lengths([t if some else "" for t, some in zip(texts, lettered)])
         best = bits.argmin(1)
         behind = np.minimum(bits - bits.min(1, keepdims=True), 1000)
         score = 1 / np.exp2(-behind).sum(1)
         return {
-            "lang_pred": [self.languages[b] if some else "und" for b, some in zip(best, lettered)],
+            "lang_pred": [languages[b] if some else "und" for b, some in zip(best, lettered)],
             "score": [float(s) if some else 0.0 for s, some in zip(score, lettered)],
         }
 
 
-def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """The model of some counted sequences; lang numbers the languages."""
+def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Table:
+    """The table of some counted sequences; lang numbers the languages."""
     each = np.stack([gram >> 24 & 255, gram >> 16 & 255, gram >> 8 & 255, gram & 255], 1)
     present = np.unique(each[each > 0])
     alphabet = np.zeros(256, np.int64)
     alphabet[present] = np.arange(1, len(present) + 1)  # 0: the start and bytes never seen
     size, many = len(present) + 1, max(1, len(languages))
     codes = alphabet[each]
-    room = max(size + 1, CELLS // (size * many))
     node, rows, parent_cost = np.zeros(1, np.int64), 0, np.full((1, size, many), math.log2(256))
     tables = []
     for order in range(ORDER + 1):
@@ -109,39 +125,52 @@ def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
         for k in range(ORDER - order, ORDER):
             context = context * size + codes[:, k]
         kinds, at = np.unique(context, return_inverse=True)
-        seen = np.bincount(at, n, len(kinds)).astype(np.int64)
-        chosen = np.sort(np.argsort(-seen, kind="stable")[: max(0, room - rows)])
-        place = np.full(len(kinds), -1)
-        place[chosen] = np.arange(len(chosen))
-        counts = np.zeros((len(chosen), size, many))
-        mine = place[at] >= 0
-        np.add.at(counts, (place[at][mine], codes[mine, ORDER], lang[mine]), n[mine])
-        # the longest kept suffix of a context answers for what the context has not seen
-        shorter = kinds[chosen] % size ** max(0, order - 1)
-        below = parent_cost[0][None].repeat(len(chosen), 0) if order == 0 else np.concatenate(tables)[node[shorter]]
+        counts = np.zeros((len(kinds), size, many))
+        np.add.at(counts, (at, codes[:, ORDER], lang), n)
+        # the longest suffix of a context that was seen answers for what the context has not seen
+        shorter = kinds % size ** max(0, order - 1)
+        below = parent_cost[0][None].repeat(len(kinds), 0) if order == 0 else np.concatenate(tables)[node[shorter]]
         total, different = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
         with np.errstate(divide="ignore", invalid="ignore"):
             known, escape = -np.log2(counts / (total + different)), -np.log2(different / (total + different))
         cost = np.where(counts > 0, known, np.where(total > 0, escape + below, below))
         tables.append(cost.astype(np.float32))
         wider = np.tile(node, size) if order else np.zeros(1, np.int64)
-        wider[kinds[chosen]] = rows + np.arange(len(chosen))
-        node, rows = wider, rows + len(chosen)
-    return Model(languages, alphabet, node.astype(np.int32), np.concatenate(tables))
+        wider[kinds] = rows + np.arange(len(kinds))
+        node, rows = wider, rows + len(kinds)
+    return Table(languages, alphabet, node.astype(np.int32), np.concatenate(tables))
+
+
+def grouped(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """The model of some counted sequences, sorted by lang: languages in order, as many to a table as fit."""
+    tables, bounds, start = [], np.searchsorted(lang, np.arange(len(languages) + 1)), 0
+    contexts, symbols = (np.zeros(0, np.int64),) * 2
+    for at in range(len(languages)):
+        own = gram[bounds[at] : bounds[at + 1]]
+        wider, more = np.union1d(contexts, own >> 8), np.union1d(symbols, own & 255)
+        if at > start and len(wider) * (len(more) + 1) * (at + 1 - start) > CELLS:
+            part = slice(bounds[start], bounds[at])
+            tables.append(build(languages[start:at], lang[part] - start, gram[part], n[part]))
+            start, wider, more = at, np.unique(own >> 8), np.unique(own & 255)
+        contexts, symbols = wider, more
+    if languages:
+        part = slice(bounds[start], None)
+        tables.append(build(languages[start:], lang[part] - start, gram[part], n[part]))
+    return Model(tables)
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from about `sample` documents of each language in docs (doc_id, lang, text)."""
-    labelled = docs.where("lang is not null and text is not null")
-    counts = {r[0]: r[1] for r in most_frequent(labelled.groupBy("lang").count(), LANGUAGES, "count").collect()}
+    labelled = docs.where("lang is not null and text is not null").where(F.length("text") <= LONGEST)
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample / n))]) if counts else F.create_map().cast("map<string,double>")
     luck = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     chosen = labelled.where(luck < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text")
     counted = map_batches(chosen, grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = most_frequent(counted, GRAMS).toPandas().sort_values(["lang", "gram"])
+    found = counted.toPandas().sort_values(["lang", "gram"])
     languages = sorted(found["lang"].unique().tolist())
     number = {lang: i for i, lang in enumerate(languages)}
-    return build(languages, found["lang"].map(number).to_numpy(np.int64), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
+    return grouped(languages, found["lang"].map(number).to_numpy(np.int64), found["gram"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
