@@ -11,6 +11,7 @@ import brute
 import duckdb
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -43,14 +44,63 @@ def test_thresholds_follow_their_group_and_sketches_merge(spark):
     values = [("en", "a", v) for v in range(1, 1001)] + [("en", "b", 7)] * 3 + [(None, None, 500)] * 250
     measured = spark.createDataFrame(values, "lang string, source string, v long").select("lang", "source", *[F.col("v").alias(m) for m in quality_rules.MEASURES], F.lit(30).alias("n_words"))
     limits = {(r.lang, r.source): r for r in quality_rules.thresholds(quality_rules.sketch(measured)).collect()}
-    spread = quality_rules.SPREAD
-    assert abs(limits["en", "a"].symbol_rate_most - (500 + spread * 250)) <= (500 + spread * 500) / 16
-    assert limits["en", "b"].symbol_rate_most == limits["en", "a"].symbol_rate_most  # too few rows: the language's sketch
-    assert 500 * 15 / 16 <= limits[None, None].symbol_rate_most - 100 <= 500  # no spread: the least margin
+    spread, prior, margin = quality_rules.SPREAD, quality_rules.PRIOR, quality_rules.MEASURES["symbol_rate"][0]
+    assert abs(limits["en", "a"].symbol_rate_most - margin - (500 + spread * 250)) <= (500 + spread * 500) / 8
+    few = (3 * 7 + prior * 500) / (3 + prior) + spread * (prior * 250) / (3 + prior)  # three rows hardly move the language's quartiles
+    assert abs(limits["en", "b"].symbol_rate_most - margin - few) <= (500 + spread * 500) / 8
+    assert limits[None, None].symbol_rate_most < limits["en", "a"].symbol_rate_most
     halves = quality_rules.sketch(measured.where("symbol_rate % 2 = 0")).union(quality_rules.sketch(measured.where("symbol_rate % 2 = 1")))
     assert {(r.lang, r.source): r for r in quality_rules.thresholds(halves).collect()} == limits
 
 
+def plain_kept(rows_):
+    """kept of (text, lang, source) rows: bins, quartiles, shrinkage and thresholds worked out plainly."""
+    def measures(text):
+        ws, lines = brute.words(text), [x for x in (text or "").split("\n") if brute.words(x)]
+        chars = max(1, sum(map(len, ws)))
+        near = sum(w in ws[max(0, i - 2) : i] for i, w in enumerate(ws))
+        marks, capitals = sum(c in "#*$%&|<>" for c in text or ""), len(regex.findall(r"\p{Lu}", text or ""))
+        n = max(1, len(ws))
+        return {"word_length": sum(map(len, ws)) * 100 // n, "symbol_rate": marks * 1000 // n, "dup_line_rate": (len(lines) - len(set(lines))) * 1000 // max(1, len(lines)), "capital_rate": capitals * 1000 // chars, "repeat_rate": near * 1000 // n}
+
+    def floor_of_bin(v):
+        return v if v < 32 else v >> (v.bit_length() - 5) << (v.bit_length() - 5)
+
+    found = [measures(t) for t, _, _ in rows_]
+    def quartiles(chosen, name):
+        values = sorted(floor_of_bin(found[i][name]) for i in chosen)
+        return len(values), [values[-(-len(values) * q // 100) - 1] for q in (25, 50, 75)]
+
+    counted = [i for i, (t, _, _) in enumerate(rows_) if brute.words(t)]
+    kept = []
+    for i, (text, lang, source) in enumerate(rows_):
+        good = not brute.base_quality(text)[5]
+        for name, (above, below) in quality_rules.MEASURES.items() if good else ():
+            _, q = quartiles(counted, name)
+            for keep in (lambda r: r[1] == lang, lambda r: r[1:] == (lang, source)):
+                n, own = quartiles([j for j in counted if keep(rows_[j])], name)
+                q = [(n * a + quality_rules.PRIOR * b) // (n + quality_rules.PRIOR) for a, b in zip(own, q)]
+            good &= found[i][name] <= q[1] + above + quality_rules.SPREAD * (q[2] - q[1])
+            good &= below is None or found[i][name] >= q[1] - below - quality_rules.SPREAD * (q[1] - q[0])
+        kept.append(good)
+    return kept
+
+
+def test_verdicts_equal_plain_thresholds(spark, docs, odd, folder):
+    given_rows = [(r.doc_id, r.text, r.lang, r.source) for r in table(spark, folder, "documents").collect()]
+    for frame, rows_ in ((docs, odd), (table(spark, folder, "documents"), given_rows)):
+        want = sorted(((r[0], k) for r, k in zip(rows_, plain_kept([r[1:4] for r in rows_]))), key=repr)
+        assert rows(quality_rules.quality_verdicts(frame), "doc_id", "kept") == want
+
+
+def test_rejected_documents_are_the_bad_ones(spark, folder):
+    """Against the labels of the larger tables, which no threshold has seen."""
+    large = folder.replace("sf0.001", "sf0.01")
+    found = queries.adaptive_quality(spark, large).join(table(spark, large, "labels"), "doc_id").where("not base_failed").collect()
+    good, bad = [r.kept for r in found if r.quality == 1], [r.kept for r in found if r.quality == 0]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.1 and len(bad) > 10
+
+
 def test_quality_filter_keeps_clean_rows(spark, docs):
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns

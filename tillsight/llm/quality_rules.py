@@ -3,10 +3,11 @@
 Every document gets its measures in one narrow pass of built-in functions. Their distribution
 in each language and source is a sketch: counts of values in bins whose width is a sixteenth of
 the value, so that sketches merge by adding counts, give quantiles within 1/16, and come out
-the same after any recomputation. A threshold lies above the median by six times the distance
-to the upper quartile, and by a least margin, so that uniform sources lose nothing; a source
-with few documents takes the merged sketch of its language, a rare language that of all rows.
-The documents are then joined with the thresholds.
+the same after any recomputation. A threshold lies beyond the median by SPREAD times the distance
+to the quartile on its side and a small margin of the measure. Quartiles of a source are shrunk to
+those of its language as if PRIOR documents of the language were in it, those of a language to
+those of all rows, so that small sources have thresholds of their own without being ruled by a
+few documents. The documents are then joined with the thresholds.
 
 Defined cases: a null or empty text has no words and fails the base rules; null languages and
 sources are groups of their own; repeated rows are judged alike; an empty table gives an empty
@@ -26,14 +27,15 @@ from tillsight.llm.common import save, whole, without
 SPACES = r"\x20\x09-\x0D"
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30  # base rules: words, percent of words in repeated windows
-LEAST_ROWS = 200  # documents that a sketch needs for thresholds of its own
+PRIOR = 200
 SPREAD = 6
-# measure -> (least margin above the median, least margin below it or None)
+# measure -> (margin above, margin below or None)
 MEASURES: dict[str, tuple[int, int | None]] = {
-    "word_length": (200, 200),  # hundredths of a character
-    "symbol_rate": (100, None),  # per 1000 words
-    "dup_line_rate": (500, None),  # per 1000 lines; one of three may be a licence line
-    "capital_rate": (300, None),  # per 1000 characters of words
+    "word_length": (100, 100),  # hundredths of a character
+    "symbol_rate": (60, None),  # per 1000 words
+    "dup_line_rate": (400, None),  # per 1000 lines; one of three may be a licence line
+    "capital_rate": (40, None),  # per 1000 characters of words
+    "repeat_rate": (50, None),  # words equal to one of the two before them, per 1000 words
 }
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *MEASURES, "base_failed", "kept")
 
@@ -70,6 +72,15 @@ def repeated_words(ws: Column) -> Column:
     return F.when(last < 1, F.lit(0).cast("long")).when(repeats, covered).otherwise(F.lit(0).cast("long"))
 
 
+def repeats_nearby(ws: Column) -> Column:
+    """Words that equal one of the two words before them."""
+    pairs = F.zip_with(ws, F.slice(ws, 2, F.greatest(F.size(ws), F.lit(1))), lambda a, b: a.eqNullSafe(b))
+    apart = F.zip_with(ws, F.slice(ws, 3, F.greatest(F.size(ws), F.lit(1))), lambda a, b: a.eqNullSafe(b))
+    # Position i of the first says whether word i + 1 equals word i, of the second whether word i + 2 does.
+    later = F.zip_with(F.slice(pairs, 2, F.greatest(F.size(ws), F.lit(1))), apart, lambda p, a: F.coalesce(p, F.lit(False)) | F.coalesce(a, F.lit(False)))
+    return (F.size(F.filter(later, lambda x: x)) + F.coalesce(F.get(pairs, F.lit(0)), F.lit(False)).cast("int")).cast("long")
+
+
 def count_of(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
@@ -82,6 +93,7 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
         F.size(ws).cast("long").alias("n_words"),
         F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
         repeated_words(ws).alias("n_repeat_words"),
+        repeats_nearby(ws).alias("repeats"),
     ))
     lines = let(F.filter(F.split(value, "\n"), lambda line: line.rlike(f"[^{SPACES}]")), lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("different")))
     raw = docs.select(*kept, counted.alias("__words"), lines.alias("__lines"), count_of(value, r"[#*$%&|<>]").alias("n_symbols"), count_of(value, r"\p{Lu}").alias("__capitals"))
@@ -92,6 +104,7 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
         (F.col("__lines.n") - F.col("__lines.different")).cast("long").alias("n_dup_lines"), F.col("__words.n_repeat_words").alias("n_repeat_words"),
         rate("__words.word_chars", "__words.n_words", 100).alias("word_length"), rate("n_symbols", "__words.n_words", 1000).alias("symbol_rate"),
         rate("__lines.n - __lines.different", "__lines.n", 1000).alias("dup_line_rate"), rate("__capitals", "__words.word_chars", 1000).alias("capital_rate"),
+        rate("__words.repeats", "__words.n_words", 1000).alias("repeat_rate"),
         F.expr(f"__words.n_words < {LEAST_WORDS} or 100 * __words.n_repeat_words > {MOST_REPEATED} * __words.n_words").alias("base_failed"),
     )
 
@@ -128,14 +141,16 @@ def thresholds(sketches: DataFrame) -> DataFrame:
         own.join(lang, F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.measure") == F.col("l.measure")))
         .join(everything, F.col("o.measure") == F.col("e.measure"))
     )
-    q = lambda c: F.when(F.col("o.rows") >= LEAST_ROWS, F.col(f"o.{c}")).when(F.col("l.rows") >= LEAST_ROWS, F.col(f"l.{c}")).otherwise(F.col(f"e.{c}")).alias(c)
-    chosen = joined.select("o.lang", "o.source", "o.measure", q("q25"), q("q50"), q("q75"))
+    shrunk = lambda of, c, to: F.expr(f"({of}.rows * {of}.{c} + {PRIOR} * {to}) div ({of}.rows + {PRIOR})")
+    quartiles = ("q25", "q50", "q75")
+    near = joined.select("o.*", *[shrunk("l", c, f"e.{c}").alias(f"l{c}") for c in quartiles]).alias("o")
+    chosen = near.select("lang", "source", "measure", *[shrunk("o", c, f"o.l{c}").alias(c) for c in quartiles])
     columns = []
     for name, (above, below) in MEASURES.items():
         here = F.col("measure") == name
-        columns.append(F.max(F.when(here, F.col("q50") + F.greatest(F.lit(above), SPREAD * (F.col("q75") - F.col("q50"))))).alias(f"{name}_most"))
+        columns.append(F.max(F.when(here, F.col("q50") + above + SPREAD * (F.col("q75") - F.col("q50")))).alias(f"{name}_most"))
         if below is not None:
-            columns.append(F.max(F.when(here, F.col("q50") - F.greatest(F.lit(below), SPREAD * (F.col("q50") - F.col("q25"))))).alias(f"{name}_least"))
+            columns.append(F.max(F.when(here, F.col("q50") - below - SPREAD * (F.col("q50") - F.col("q25")))).alias(f"{name}_least"))
     return chosen.groupBy("lang", "source").agg(*columns)
 
 
