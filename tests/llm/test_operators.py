@@ -185,6 +185,21 @@ def test_entropy_windows_match_counting_anew():
         assert {p for a, b in secrets.dense(text, 20, 3.5) for p in range(a, b)} == hit
 
 
+@pytest.mark.parametrize("alphabet, least", [
+    ("0123456789", 0.85), ("0123456789abcdef", 0.9), ("abcdefghijklmnopqrstuvwxyz", 0.4), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0.4), ("abcdefghijklmABCDEFGHIJKLMnopqrstuvwxyzNOPQRSTUVWXYZ", 0.9),
+    ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ-_/", 0.85), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", 0.9)])
+def test_random_keys_of_every_class_are_found(alphabet, least):
+    """Share of random keys of 20 characters, which is as short as a candidate can be; longer ones are found more often."""
+    dice = random.Random(6)
+    share = lambda n: np.mean([bool(secrets.entropy_spans("".join(dice.choices(alphabet, k=n)), secrets.Rules())) for _ in range(400)])
+    assert share(20) > least and share(40) > least
+
+
+def test_words_are_not_keys():
+    for text in ("Rechtsschutzversicherungsgesellschaften", "getElementsByClassNameOrIdentifier", "the-quick-brown-fox-jumps-over", "SOME_LONG_CONSTANT_NAME_2", "docs/guide/Getting-Started/index", "keitstlichschenverpfung", "a" * 60, "-" * 40):
+        assert secrets.all_spans(text, secrets.Rules()) == [], text
+
+
 def test_allow_list():
     key = "q9ZxT3vLk8Wm2RbY7cHd"
     kinds = lambda text, **r: [s[2] for s in secrets.all_spans(text, secrets.Rules(**r))]

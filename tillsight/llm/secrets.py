@@ -7,6 +7,7 @@ candidate's character class are joined to `entropy` spans. Candidates on the all
 (UUIDs, host and path of web addresses, repeated alphabets) are passed over; base spans always
 stay. User info, query and fragment of an address are scanned like any other text. An address
 ends before quotes, commas, brackets, braces, other marks that paths rarely have, and non-ASCII.
+So a key that is part of an address's path (a webhook's, for one) is passed over by design.
 
 Offsets are code points, end exclusive. Defined cases: a null or empty text has no spans; rows
 are independent, so repeated rows give equal results; a column named like a result is replaced.
@@ -37,19 +38,22 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-# Class of a candidate: the first pattern that fits it whole, and its least entropy in bits.
+# Class of a candidate: the first pattern that fits it whole, and its least entropy in bits. A window of 20
+# random characters of the class reaches it in about 19 of 20 cases; letters of one case in about half of
+# them, for long words come as near as that.
 CLASSES = (
-    (re.compile(r"[0-9]+"), math.inf),
+    (re.compile(r"[0-9]+"), 2.65),
     (re.compile(r"[0-9a-fA-F]+"), 3.0),
-    (re.compile(r"[A-Za-z]+"), 4.15),
-    (re.compile(r"[A-Za-z_-]+|[A-Za-z/_-]*"), math.inf),
+    (re.compile(r"[A-Z]?[a-z]+|[A-Z]+"), 3.65),
+    (re.compile(r"[A-Za-z]+"), 3.7),
     (re.compile(r"[A-Za-z0-9]+"), 3.7),
-    (re.compile(r".+"), 3.9),
+    (re.compile(r".+"), 3.75),
 )
 ALLOWED = (
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
     r"(?:/[A-Za-z0-9_-]{1,15})+/?",  # path of short names
-    r"(?:[A-Za-z]{1,15}|[0-9]{1,6})(?:[-_/=+](?:[A-Za-z]{1,15}|[0-9]{1,6}))*",  # words and numbers, joined
+    r"(?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15}|[0-9]{1,6})(?:[-_/=+](?:[A-Z]?[a-z]{1,15}|[A-Z]{1,15}|[0-9]{1,6}))*",  # words and numbers, joined
+    r"[a-z]*(?:[A-Z][a-z]{1,15})+",  # words in camel case
     r"0123456789.*|.*ABCDEFGHIJKLMNOPQRSTUVWXYZ.*|.*abcdefghijklmnopqrstuvwxyz.*",  # alphabets
 )
 # A web address up to its path; the group is its user info.
@@ -79,7 +83,7 @@ def entropy_spans(text: str, rules: Rules) -> list[tuple[int, int, str]]:
     for m in CANDIDATE.finditer(text):
         candidate = m[0]
         least = next(bits for pattern, bits in CLASSES if pattern.fullmatch(candidate))
-        if least == math.inf or (allowed and allowed.fullmatch(candidate)):
+        if allowed and allowed.fullmatch(candidate):
             continue
         if addresses is None:
             addresses = [(a.end(1) if a[1] else a.start(), a.end()) for a in ADDRESS.finditer(text)]
