@@ -106,12 +106,12 @@ def test_each_answer_scans_the_lines_once(spark, folder):
     assert line_scans(cleaning.reconcile_cleaning(open_raw_star(spark, folder))) == 1
 
 
-def test_checks_scan_the_lines_at_most_twice(spark, folder):
+def test_checks_scan_the_lines_once(spark, folder):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert line_scans(quality.validate_all(open_raw_star(spark, folder))) == 1
-        assert line_scans(quality.quality_checks(open_star(spark, folder))) <= 2
-        assert line_scans(quality.constraint_violations(open_raw_star(spark, folder))) <= 2
+        assert line_scans(quality.quality_checks(open_star(spark, folder))) == 1
+        assert line_scans(quality.constraint_violations(open_raw_star(spark, folder))) == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -59,14 +59,17 @@ def _customers(star: Star) -> DataFrame:
     )
 
 
+def _latest(customers: DataFrame) -> Column:
+    return customers.agg(F.max(F.struct("last_order_date", "frequency", "monetary", "lines"))["last_order_date"]).scalar()
+
+
 def _with_recency(customers: DataFrame) -> DataFrame:
     """Customers but the null one, with the last date of all.
 
     The date is the maximum of whole rows, and the null customer goes by its number of lines: every reader then
     needs the same columns and filters of the customers, and Spark shuffles them once for all.
     """
-    latest = customers.agg(F.max(F.struct("last_order_date", "frequency", "monetary", "lines"))["last_order_date"]).scalar()
-    return customers.filter("lines > 0").withColumn("analysis_date", latest) \
+    return customers.filter("lines > 0").withColumn("analysis_date", _latest(customers)) \
         .withColumn("recency_days", F.datediff("analysis_date", "last_order_date"))
 
 
@@ -147,7 +150,7 @@ def all_customers(star: Star) -> DataFrame:
     no dimension, and customers that match no buyer are the non-buyers.
     """
     buyers = quintile_scores(star).withColumn("has_purchase", F.lit(1))
-    analysis_date = _customers(star).agg(F.max(F.struct("last_order_date", "frequency", "monetary", "lines"))["last_order_date"]).scalar()
+    analysis_date = _latest(_customers(star))
     joined = buyers.drop("analysis_date").join(star.dim_customer.select("customer_id", *ATTRIBUTES),
                                                "customer_id", "full")
     joined = joined.withColumns({
