@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillsight.operators import cleaning, marketing, measures, quality, rfm, sales
 from tillsight.plans import findings, pages
 from tillsight.plans.registry import named_queries
+from tillsight.sources.session import shared
 from tillsight.sources.star import Between
 from tillsight.sources.tables import open_raw_star, open_star
 
@@ -130,6 +131,25 @@ def test_scans_of_reports(spark, folder):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_shared_rows_are_shuffled_once_for_unlike_readers(spark, joined):
+    """Readers that take other columns, filter, join and group: one scan, equal rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(1000).selectExpr("id % 50 AS k", "id AS a", "id * 2 AS b").withColumn("c", F.rand(3))
+        rows = shared(base, "k", joined)
+        top = rows.groupBy("k").agg(F.max("a").alias("a"))
+        if joined:
+            top = top.join(spark.range(40).withColumnRenamed("id", "k"), "k")
+        both = top.select("a").unionAll(rows.filter("b > 100").agg(F.sum("b")))
+        assert final_plan(both).count("Range (0, 1000") == 1
+        plain = base.groupBy("k").agg(F.max("a").alias("a")).filter("k < 40" if joined else "true").select("a").unionAll(base.filter("b > 100").agg(F.sum("b")))
+        assert sorted(both.collect()) == sorted(plain.collect())
+        assert rows.columns == (base.columns) and rows.exceptAll(base).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_validation_shuffles_digests_and_keys(spark, folder):
     text = plan(quality.validate_all(open_raw_star(spark, folder)))
     grouped = [k for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text) if "digest_1" in k]
