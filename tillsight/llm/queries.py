@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import bpe_codec, chat, decontamination, langid, quality_classifier, quality_rules, secrets, simhash, substring_dedup, token_counts, url_filter, vector_codes, whitening
+from tillsight.llm import bpe_codec, chat, decontamination, langid, quality_classifier, quality_rules, reference_sql, secrets, simhash, substring_dedup, token_counts, url_filter, vector_codes, whitening
 from tillsight.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,4 +86,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_formatting": chat.digests_sql(), "op11_vector_codes": vector_codes.codes_sql()}
+    return {
+        "op1_adaptive_quality": reference_sql.quality_sql(),
+        "op6_substring_dedup": reference_sql.substrings_sql(),
+        "op7_benchmark_decontamination": reference_sql.benchmark_sql(),
+        "op8_chat_formatting": chat.digests_sql(),
+        "op11_vector_codes": vector_codes.codes_sql(),
+    }
