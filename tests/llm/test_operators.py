@@ -462,6 +462,21 @@ def test_url_rules(spark, folder):
     assert url_filter.url_verdicts(odd.limit(0)).count() == 0
 
 
+def test_url_rules_have_the_verdicts_of_the_contract(spark):
+    """The contract's list as it stands there: each rule's word, on its host and a subdomain, and the longer rule before the shorter."""
+    ruled = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+    urls = {
+        "http://a.org/": "org/", "http://example.org/es": "org/", "http://example.org/en/2": "org/", "http://notexample.org/en/1": "org/", "http://org/en/1": "org/",
+        "http://example.org/es/": "example.org/es/", "http://m.Example.org/es/1?x": "example.org/es/",
+        "http://example.org/en/1": "example.org/en/1", "https://M.example.ORG/en/12#x": "example.org/en/1", "http://example.org/en/1/es/": "example.org/en/1",
+        "http://com/fr/": "com/fr/", "http://b.com/fr/de/": "com/fr/", "http://com/de/x": "com/de/", "http://b.com/de/": "com/de/",
+    }
+    frame = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    found = rows(url_filter.url_verdicts(frame), "page_id", "rule", "verdict")
+    assert found == sorted(((i, r, ruled[r]) for i, r in enumerate(urls.values())), key=repr)
+    assert {h + p: v for h, p, v in url_filter.RULES} == ruled
+
+
 def plain_split(name, counts):
     """All words of least total cost, tried one by one."""
     total = sum(counts.values())

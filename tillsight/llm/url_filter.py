@@ -37,7 +37,7 @@ from tillsight.llm.common import map_batches, save
 RULES = (
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
-    ("example.org", "/en/1", "allow"),
+    ("example.org", "/en/1", "block"),
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
